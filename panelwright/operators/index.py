@@ -22,37 +22,39 @@ def log1p_minmax(
     the job, or with ``on_domain_error="null"`` give NULL and leave the fit.
 
     The fit is one row of bounds (log1p is monotone, so minima and maxima need no
-    logarithm per row), read as a scalar subquery. Where the input comes out of an
-    exchange, the fit reuses that exchange, so the input is aggregated once.
+    logarithm per row), read as a scalar subquery. It reads ``df`` a second time:
+    pass a stored table (``session.stored``), not a costly plan. Spark may reuse an
+    exchange between the two reads, but adaptive planning does not promise it.
     """
     if on_domain_error not in ("error", "null"):
         raise ValueError("on_domain_error must be 'error' or 'null'")
 
     bounds, terms = [], []
     for c in columns:
-        value = F.coalesce(_col(c).cast("double"), F.lit(0.0))
+        value = f"coalesce(cast(`{c}` as double), 0D)"
+        low = f"log1p(`{c}_min`)"
         if on_domain_error == "null":
-            value = F.when(value > -1, value)
-        bounds += [F.min(value).alias(f"{c}_min"), F.max(value).alias(f"{c}_max")]
-        complaint = F.raise_error(F.lit(f"log1p is undefined for a value of '{c}'")).cast("double")
-        smallest = F.when(_col(f"{c}_min") <= -1, complaint).otherwise(_col(f"{c}_min"))
-        low, width = F.log1p(smallest), F.log1p(f"`{c}_max`") - F.log1p(f"`{c}_min`")
+            value = f"if({value} > -1, {value}, null)"
+        else:
+            complaint = f"raise_error('log1p is undefined for a value of {c}')"
+            low = f"if(`{c}_min` <= -1, cast({complaint} as double), {low})"
+        width = f"log1p(`{c}_max`) - log1p(`{c}_min`)"
+        bounds += [F.expr(f"min({value}) as `{c}_min`"), F.expr(f"max({value}) as `{c}_max`")]
         terms += [
-            low.alias(f"{c}_low"),
-            F.when(width == 0, 1.0).otherwise(width).alias(f"{c}_width"),
-            F.when(width == 0, 0.5).otherwise(0.0).alias(f"{c}_shift"),
+            f"'{c}_low', {low}",
+            f"'{c}_width', if({width} = 0, 1D, {width})",
+            f"'{c}_shift', if({width} = 0, 0.5D, 0D)",
         ]
-    fit = df.agg(*bounds).select(F.struct(*terms)).scalar()
+    fit = df.agg(*bounds).selectExpr(f"named_struct({', '.join(terms)})").scalar()
 
     # Exploding the one-row fit makes it a column that later filters and projections
     # refer to; as an expression, the optimizer would copy the subquery into each.
     fitted = df.select("*", F.explode(F.array(fit)).alias("_fit"))
-
-    def scaled(name: str) -> Column:
-        low, width, shift = (F.col("_fit").getField(f"{name}_{t}") for t in ("low", "width", "shift"))
-        return (F.log1p(_col(name).cast("double")) - low) / width + shift
-
-    return fitted.select("*", *[scaled(c).alias(f"{c}{suffix}") for c in columns]).drop("_fit")
+    scaled = [
+        f"(log1p(cast(`{c}` as double)) - _fit.`{c}_low`) / _fit.`{c}_width` + _fit.`{c}_shift` as `{c}{suffix}`"
+        for c in columns
+    ]
+    return fitted.selectExpr("*", *scaled).drop("_fit")
 
 
 def weighted_sum(weights: dict[str, float]) -> Column:
@@ -76,17 +78,24 @@ def reweighted_score(weights: dict[str, float]) -> Column:
 
 
 def top_k_within(df: DataFrame, group: str, score: str, k: int, rank: str = "rank") -> DataFrame:
-    """The k best distinct scores of each group, ties included.
+    """Rows with one of the k best distinct scores of their group, ties included.
 
-    The rank filter becomes a per-task group limit before the exchange, so only
-    each task's own best rows move. Rows without a score are left out.
+    Only distinct scores are ranked, and the rank filter becomes a per-task group
+    limit before their exchange, so at most k rows per group and task move. The
+    winners, at most k per group, then pick their rows; a score that very many rows
+    share is never gathered in one task. ``df`` is read twice: pass a stored table.
+    Rows without a score are left out.
     """
-    best_first = Window.partitionBy(group).orderBy(F.col(score).desc())
-    return (
+    best_first = Window.partitionBy("_group").orderBy(F.col("_score").desc())
+    winners = (
         df.filter(F.col(score).isNotNull())
-        .withColumn(rank, F.dense_rank().over(best_first))
-        .filter(F.col(rank) <= k)
+        .select(F.col(group).alias("_group"), F.col(score).alias("_score"))
+        .distinct()
+        .withColumn("_rank", F.row_number().over(best_first))
+        .filter(F.col("_rank") <= k)
     )
+    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col(score) == F.col("_score"))
+    return df.join(winners, same).select(*[_col(c) for c in df.columns], F.col("_rank").alias(rank))
 
 
 def rank_within(
@@ -97,7 +106,8 @@ def rank_within(
     No window sees a whole group: the group's distinct scores are cut into slices
     at approximate quantiles, ranked inside each slice, and shifted by the number
     of scores in the better slices. The cuts only balance the work; the rank is
-    exact for any cuts. A score shared by many rows is ranked once.
+    exact for any cuts. A score shared by many rows is ranked once. ``df`` is read
+    several times: pass a stored table.
     """
     scores = df.filter(F.col(score).isNotNull()).select(group, score).distinct()
     marks = [i / slices for i in range(1, slices)]

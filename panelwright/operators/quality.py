@@ -25,8 +25,12 @@ def require_unique(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def missing_inputs(required: DataFrame, completed: DataFrame, key: str) -> DataFrame:
-    """Required names that no completed result provides."""
-    return required.select(key).distinct().join(completed.select(key), key, "left_anti")
+    """Required names that no completed result provides.
+
+    Both sides are reduced to distinct names, whose exchange the join then shares;
+    a name with very many results arrives as one row per task.
+    """
+    return required.select(key).distinct().join(completed.select(key).distinct(), key, "left_anti")
 
 
 def require_inputs(required: DataFrame, completed: DataFrame, key: str, consumer: str) -> None:

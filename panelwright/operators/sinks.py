@@ -23,13 +23,18 @@ def write_table(
     mode: str = OVERWRITE,
     partition_cols: list[str] | None = None,
     options: dict | None = None,
+    rebalance: bool = False,
 ) -> None:
     """Write by location. ``overwrite_partitions`` replaces only the partitions in ``df``.
 
     A MERGE is a plan, not a file mode: see ``keyed_merge`` and ``merge_partitions``.
+    ``rebalance`` exchanges rows by partition first, so that not every task writes a
+    small file into every folder; Spark splits a folder that is too big for one task.
     """
     if mode not in (APPEND, OVERWRITE, OVERWRITE_PARTITIONS):
         raise ValueError(f"not a write mode of files: {mode}")
+    if rebalance and partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     writer = df.write.format(fmt).options(**(options or {}))
     if mode == OVERWRITE_PARTITIONS:
         if not partition_cols:
@@ -134,7 +139,7 @@ def persist_model(
     if not df.isEmpty():
         rows = Observation(f"rows of {name}")
         counted = df.observe(rows, F.count(F.lit(1)).alias("n"))
-        write_table(counted, path, fmt, OVERWRITE, partition_cols, options)
+        write_table(counted, path, fmt, OVERWRITE, partition_cols, options, rebalance=True)
         record.update(
             status=contract.COMPLETED, output_path=path, operation_type="OVERWRITE",
             record_count=rows.get["n"],

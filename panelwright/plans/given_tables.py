@@ -27,8 +27,30 @@ LINE_MEASURES = ["researchers_count", "patents_total", "resident_patents", "abro
 PRIZE_MEASURES = ["nobel_laureates_count"]
 
 
+# Explicit schemas: no job to infer them, and a changed file fails instead of drifting.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _money(name: str) -> Column:
@@ -84,18 +106,22 @@ def _quantity_split(same_nation: Column, other_nation: Column) -> list[Column]:
     ]
 
 
-def shipped_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantity per supplier, ship year and nation of the customer (NULL if unknown)."""
+def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer and customer nation (NULL if unknown) of every order.
+
+    Joined to the orders before the lines come in, so the wide side of the lines'
+    join carries the nation already and the lines are not exchanged for it.
+    """
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    buyer = (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey")
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .select("o_orderkey", "c_nationkey")
-    )
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").drop("c_custkey")
+
+
+def shipped_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantity per supplier, ship year and nation of the customer."""
     return (
         table(spark, sf_dir, "lineitem")
-        .join(buyer, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(buyers(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"), "left")
         .groupBy("l_suppkey", F.year("l_shipdate").alias("year"), "c_nationkey")
         .agg(F.sum("l_quantity").alias("quantity"))
     )
@@ -151,19 +177,16 @@ def customer_order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     per_pair = (
         table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("o_custkey", "l_suppkey", F.year("l_shipdate").alias("year"))
+        .join(buyers(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("o_custkey", "c_nationkey", "l_suppkey", F.year("l_shipdate").alias("year"))
         .agg(F.sum("l_quantity").alias("quantity"))
     )
     origin, office = F.col("s_nationkey"), F.col("c_nationkey")
     return (
         per_pair.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("o_custkey").alias("entity"), "year")
         .agg(
             # One row per pair and year: counting rows counts suppliers.

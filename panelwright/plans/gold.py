@@ -8,6 +8,7 @@ from panelwright.functions.numbers import per_million, percent_of, ratio
 from panelwright.operators.index import inverted, log1p_minmax, reweighted_score, weighted_sum
 from panelwright.operators.panel import Inputs, panel_by_union
 from panelwright.operators.reshape import scaffold, year_range
+from panelwright.session import stored
 
 ISO, YEAR = contract.ISO, contract.YEAR
 
@@ -50,7 +51,10 @@ def with_score(indexed: DataFrame) -> DataFrame:
 
 
 def composite_index(panel: DataFrame) -> DataFrame:
-    """Panel of measures to ratios, scaled columns, sub-indices and the final score."""
+    """Panel of measures to ratios, scaled columns, sub-indices and the final score.
+
+    Scaling reads the panel twice, so the panel should be a stored table.
+    """
     scaled = log1p_minmax(with_ratios(panel), list(contract.SCALED))
     return with_score(with_sub_indices(scaled))
 
@@ -78,5 +82,7 @@ def fact_inputs(models: dict[str, DataFrame]) -> Inputs:
 
 
 def fact_innovation(models: dict[str, DataFrame]) -> DataFrame:
+    """The panel is stored once; the index is a lazy plan over it."""
     grid = scaffold(models["COUNTRY"], ISO, models["YEAR"], YEAR)
-    return composite_index(panel_by_union(grid, fact_inputs(models), [ISO, YEAR]))
+    panel = panel_by_union(grid, fact_inputs(models), [ISO, YEAR])
+    return composite_index(stored(panel, "panel"))

@@ -1,7 +1,7 @@
 """The same results as ANSI SQL over the given tables, for the side-by-side check."""
 
 from panelwright import contract
-from panelwright.plans.given_tables import CUSTOMER_PRIZE, FIRST_YEAR, LAST_YEAR, NATION_PRIZE
+from panelwright.plans.given_tables import CUSTOMER_PRIZE, FIRST_YEAR, LAST_YEAR, NATION_PRIZE, SCHEMAS
 from panelwright.plans.queries import TABLE_KEYS
 
 ISO = contract.ISO
@@ -69,7 +69,7 @@ order_measures AS (
 line_rows AS (
   SELECT o_custkey AS entity, {_year('l_shipdate')} AS year, l_suppkey, l_quantity, c_nationkey, s_nationkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
+  LEFT JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
 line_measures AS (
   SELECT entity, year,
          CAST(count(DISTINCT l_suppkey) AS DOUBLE) AS researchers_count,
@@ -204,30 +204,11 @@ def _customer_name(key: str) -> str:
     return f"'Customer' || {_letters(f'''lpad(CAST({key} AS VARCHAR), 9, '0')''')}"
 
 
-_AUDIT_COLUMNS = {
-    "region": "r_regionkey r_name",
-    "nation": "n_nationkey n_name n_regionkey",
-    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
-    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
-    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
-    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
-    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-                "l_returnflag l_linestatus l_shipdate",
-    "events": "event_id ts user_id event_type value props",
-    "documents": "doc_id text lang source n_chars",
-    "embeddings": "vec_id embedding label",
-    "pages": "page_id url html",
-    "benchmark": "item_id text",
-    "labels": "doc_id quality toxic",
-    "conversations": "conv_id turn role text",
-}
-
-
 def _audit() -> str:
     parts = []
-    for name, columns in _AUDIT_COLUMNS.items():
+    for name, schema in SCHEMAS.items():
         keys = ", ".join(TABLE_KEYS[name])
-        for column in columns.split():
+        for column in (field.split()[0] for field in schema.split(", ")):
             parts.append(
                 f"SELECT 'run-1' AS run_id, '{name}' AS model, (SELECT count(*) FROM {name}) AS row_count, "
                 f"(SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {name})) AS key_count, "

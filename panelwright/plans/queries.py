@@ -37,9 +37,8 @@ INDICES = list(contract.SCORE_WEIGHTS)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(*[
-        F.round(f"`{f.name}`", digits).alias(f.name) if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
-        for f in df.schema
+    return df.selectExpr(*[
+        f"round(`{name}`, {digits}) as `{name}`" if kind == "double" else f"`{name}`" for name, kind in df.dtypes
     ])
 
 
@@ -281,6 +280,14 @@ def customer_panel(spark, sf_dir):
     return panel_by_union(given.customer_grid(spark, sf_dir), given.customer_inputs(spark, sf_dir), KEYS)
 
 
+def stored_nation_panel(spark, sf_dir):
+    return stored(nation_panel(spark, sf_dir), "panel")
+
+
+def stored_customer_panel(spark, sf_dir):
+    return stored(customer_panel(spark, sf_dir), "panel")
+
+
 def panel_union_long(spark, sf_dir):
     return rounded(nation_panel(spark, sf_dir), 6)
 
@@ -307,31 +314,31 @@ def per_capita_ratios(spark, sf_dir):
 
 
 def log1p_minmax_query(spark, sf_dir):
-    scaled = index.log1p_minmax(gold.with_ratios(nation_panel(spark, sf_dir)), list(contract.SCALED))
+    scaled = index.log1p_minmax(gold.with_ratios(stored_nation_panel(spark, sf_dir)), list(contract.SCALED))
     return rounded(scaled.select(*KEYS, *NORMS))
 
 
 def sub_indices(spark, sf_dir):
-    return rounded(gold.composite_index(nation_panel(spark, sf_dir)).select(*KEYS, *INDICES))
+    return rounded(gold.composite_index(stored_nation_panel(spark, sf_dir)).select(*KEYS, *INDICES))
 
 
 def composite_index(spark, sf_dir):
-    return rounded(gold.composite_index(nation_panel(spark, sf_dir)), 6)
+    return rounded(gold.composite_index(stored_nation_panel(spark, sf_dir)), 6)
 
 
 def customer_composite_index(spark, sf_dir):
-    scored = gold.composite_index(customer_panel(spark, sf_dir))
+    scored = gold.composite_index(stored_customer_panel(spark, sf_dir))
     return rounded(scored.select(*KEYS, *INDICES, contract.SCORE))
 
 
 def _customer_scores(spark, sf_dir) -> DataFrame:
-    scored = gold.composite_index(customer_panel(spark, sf_dir))
-    return scored.select(*KEYS, F.round(contract.SCORE, 6).alias("score"))
+    """Stored, since ranking reads the scores several times."""
+    scored = gold.composite_index(stored_customer_panel(spark, sf_dir))
+    return stored(scored.select(*KEYS, F.round(contract.SCORE, 6).alias("score")), "scores")
 
 
 def rank_by_year(spark, sf_dir):
-    """Ranks the stored scores, since ranking reads them several times."""
-    return index.rank_within(stored(_customer_scores(spark, sf_dir), "scores"), "year", "score")
+    return index.rank_within(_customer_scores(spark, sf_dir), "year", "score")
 
 
 def top_k_by_year(spark, sf_dir):
@@ -339,27 +346,38 @@ def top_k_by_year(spark, sf_dir):
 
 
 def fact_innovation(spark, sf_dir):
-    """All layers at once: raw shapes, flattening, conformed models, dimensions, fact."""
+    """All layers at once: raw shapes, flattening, conformed models, dimensions, fact.
+
+    Raw inputs and the country model are stored, as a run of the layers would leave
+    them, because several models read them.
+    """
     nation = table(spark, sf_dir, "nation")
     name, iso = letters(F.col("n_name")), F.concat(F.lit("N"), F.col("n_nationkey"))
     reference = nation.select(iso.alias(ISO), name.alias("official_name_en"))
-    orders = given.nation_order_measures(spark, sf_dir)
-    lines = given.nation_line_measures(spark, sf_dir).select(*KEYS, "researchers_count")
+    measured = stored(
+        given.nation_order_measures(spark, sf_dir)
+        .join(given.nation_line_measures(spark, sf_dir).select(*KEYS, "researchers_count"), KEYS, "full")
+        .join(nation, F.col("entity") == F.col("n_nationkey"))
+        .select(name.alias("name"), iso.alias("iso"), "year", *contract.MEASURES[:5]),
+        "raw-indicators",
+    )
 
-    def indicator(df, measure, dataset):
-        raw = df.filter(F.col(measure).isNotNull()).join(nation, F.col("entity") == F.col("n_nationkey")).select(
-            F.struct(name.alias("value")).alias("country"), iso.alias("countryiso3code"),
+    def indicator(measure, dataset):
+        raw = measured.filter(F.col(measure).isNotNull()).select(
+            F.struct(F.col("name").alias("value")).alias("country"), F.col("iso").alias("countryiso3code"),
             text(F.col("year")).alias("date"), F.col(measure).alias("value"))
         return flatten_indicator(raw, dataset)
 
     sources = {
-        "population": indicator(orders, "population", "population"),
-        "pkb": indicator(orders, "gdp", "pkb"),
-        "rd": indicator(orders, "rd_expenditure", "rd"),
-        "researchers": indicator(lines, "researchers_count", "researchers"),
-        "unemployment": indicator(orders, "graduate_unemployment_rate", "unemployment"),
+        "population": indicator("population", "population"),
+        "pkb": indicator("gdp", "pkb"),
+        "rd": indicator("rd_expenditure", "rd"),
+        "researchers": indicator("researchers_count", "researchers"),
+        "unemployment": indicator("graduate_unemployment_rate", "unemployment"),
     }
-    patents = flatten_patents(raw_patents(spark, sf_dir)).withColumn("country_code", light_name(letters(F.col("Origin"))))
+    patents = flatten_patents(
+        stored(raw_patents(spark, sf_dir).withColumn("Origin", letters(F.col("Origin")))
+               .withColumn("Office", letters(F.col("Office"))), "raw-patents"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     winners = (
         table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > given.NATION_PRIZE)
@@ -368,11 +386,11 @@ def fact_innovation(spark, sf_dir):
     )
     def place(c):
         return F.struct(F.struct(F.struct(c.alias("en")).alias("country"), F.struct(c.alias("en")).alias("countryNow")).alias("place"))
-    laureates = flatten_laureates(winners.select(
+    laureates = flatten_laureates(stored(winners.select(
         text(F.col("o_orderkey")).alias("id"), place(name).alias("birth"),
-        F.array(F.struct(text(F.year("o_orderdate")).alias("awardYear"))).alias("nobelPrizes")))
+        F.array(F.struct(text(F.year("o_orderdate")).alias("awardYear"))).alias("nobelPrizes")), "raw-laureates"))
 
-    country = silver.country_model(reference, sources["population"], patents, laureates)
+    country = stored(silver.country_model(reference, sources["population"], patents, laureates), "country")
     models = {m: silver.indicator_model(sources[d], country) for m, d in contract.INDICATOR_MODEL_DATASET.items()}
     models |= {
         "COUNTRY": country,
