@@ -115,7 +115,7 @@ def rank_within(
     sliced = scores.join(cuts, group).select(
         group,
         score,
-        F.size(F.filter("_cuts", lambda cut: cut > F.col(score))).alias("_slice"),
+        F.coalesce(F.size(F.filter("_cuts", lambda cut: cut > F.col(score))), F.lit(0)).alias("_slice"),
     )
     sizes = sliced.groupBy(group, "_slice").agg(F.count("*").alias("_size"))
     better = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
