@@ -1,9 +1,9 @@
 """Raw landing that can be repeated safely."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.operators.sinks import OVERWRITE_PARTITIONS, write_table
+from panelwright.operators.sinks import APPEND, OVERWRITE_PARTITIONS, stored_table, write_table
 
 # Folders of the landing area, outermost first; a batch is one innermost folder.
 BATCH = ["source", "ingest_date", "dataset", "config_hash"]
@@ -33,15 +33,20 @@ def not_yet_landed(batch: DataFrame, ledger: DataFrame, keys: list[str]) -> Data
     return batch.join(ledger.select(*keys).distinct(), keys, "left_anti")
 
 
-def land(batch: DataFrame, path: str, fmt: str = "json") -> None:
-    """Write each batch into its own folder as splittable lines.
+def land(batch: DataFrame, path: str, ledger: str, fmt: str = "json") -> None:
+    """Write each batch into its own folder as splittable lines, then note it in the ledger.
 
-    Landing the same batch again replaces its folder, so a run that died half-way
-    can simply be repeated.
+    Landing the same batch again replaces its folder, so a run that died between the
+    two steps can simply be repeated. The ledger is a small table of its own, so
+    that looking up what is there never scans the landed records.
     """
     write_table(batch, path, fmt, OVERWRITE_PARTITIONS, BATCH)
+    write_table(batch.select(*BATCH).distinct(), ledger, mode=APPEND)
 
 
-def ledger_of(landed: DataFrame) -> DataFrame:
-    """What has been landed: one row per batch."""
-    return landed.select(*BATCH).distinct()
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """What has been landed, one row per batch; empty before the first landing."""
+    known = stored_table(spark, ledger)
+    if known is None:
+        return spark.createDataFrame([], ", ".join(f"{c} STRING" for c in BATCH))
+    return known.distinct()

@@ -10,13 +10,19 @@ Inputs = list[tuple[DataFrame, list[str]]]
 
 
 def panel_by_union(grid: DataFrame, inputs: Inputs, keys: list[str]) -> DataFrame:
-    """Grid and inputs stacked, then one aggregation by key: a single exchange for all inputs.
+    """Grid and inputs stacked, then one aggregation by key, without sorting any of them.
+
+    Every row is exchanged once: an input that comes out of a ``groupBy`` on the keys
+    is partitioned by them already, the grid is partitioned here, and the union of
+    equally partitioned frames keeps the partitioning, so the aggregation needs no
+    exchange of its own. Partition a raw input with ``repartition(*keys)`` to have
+    the same; with one input that is partitioned otherwise, all are exchanged again.
 
     Each input must have one row per key. A second row fails the job with a clear
     error instead of multiplying rows; the check rides on the same aggregation.
     """
     quoted = [f"`{k}`" for k in keys]
-    stacked = [grid.select(*quoted, F.lit(1).alias("_on_grid"))]
+    stacked = [grid.select(*quoted).repartition(*quoted).withColumn("_on_grid", F.lit(1))]
     for i, (frame, measures) in enumerate(inputs):
         stacked.append(frame.select(*quoted, *measures, F.lit(1).alias(f"_rows_{i}")))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)

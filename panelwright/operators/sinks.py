@@ -88,7 +88,7 @@ def merge_partitions(
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
     merged = batch
-    current = _stored(spark, path)
+    current = stored_table(spark, path)
     if current is not None:
         for column in partition_cols:
             touched = [row[0] for row in batch.select(f"`{column}`").distinct().collect()]
@@ -97,18 +97,23 @@ def merge_partitions(
     write_table(merged, path, mode=OVERWRITE_PARTITIONS, partition_cols=partition_cols)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None if it does not exist or has no files yet."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+        return None
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
 
 def merge_into(batch: DataFrame, table: str, keys: list[str]) -> None:
     """Merge through a catalog table whose format supports row-level updates."""
-    on = " AND ".join(f"{table}.`{k}` = batch.`{k}`" for k in keys)
+    target = table.split(".")[-1]
+    on = " AND ".join(f"{target}.`{k}` = batch.`{k}`" for k in keys)
     (
         batch.alias("batch").mergeInto(table, F.expr(on))
         .whenMatched().updateAll()

@@ -64,7 +64,7 @@ def fact_inputs(models: dict[str, DataFrame]) -> Inputs:
     key = [F.col(f"`{ISO}`"), F.col(YEAR)]
 
     def indicator(model: str, value: str, measure: str) -> tuple[DataFrame, list[str]]:
-        return models[model].select(*key, F.col(value).alias(measure)), [measure]
+        return models[model].select(*key, F.col(value).alias(measure)).repartition(*key), [measure]
 
     patents = ["patents_total", "resident_patents", "abroad_patents"]
     laureates = models["NOBEL_LAUREATES"].groupBy(*key).agg(

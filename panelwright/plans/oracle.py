@@ -4,7 +4,6 @@ from panelwright import contract
 from panelwright.plans.given_tables import CUSTOMER_PRIZE, FIRST_YEAR, LAST_YEAR, NATION_PRIZE, SCHEMAS
 from panelwright.plans.queries import TABLE_KEYS
 
-ISO = contract.ISO
 MEASURES = list(contract.MEASURES)
 
 
@@ -26,18 +25,18 @@ def _year(c: str) -> str:
 
 # ---- panels
 
-_MONEY = "CAST(o_totalprice AS DECIMAL(18,2))"
+_CENTS = "CAST(floor(o_totalprice * 100 + 0.5) AS BIGINT)"
 
 NATION_INPUTS = f"""
 order_rows AS (
   SELECT c_nationkey AS entity, {_year('o_orderdate')} AS year, o_custkey, o_orderkey, o_totalprice,
-         {_MONEY} AS money, o_orderpriority, o_orderstatus
+         {_CENTS} AS cents, o_orderpriority, o_orderstatus
   FROM orders JOIN customer ON o_custkey = c_custkey),
 order_measures AS (
   SELECT entity, year,
          CAST(count(DISTINCT o_custkey) AS DOUBLE) AS population,
-         CAST(sum(money) AS DOUBLE) AS gdp,
-         CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN money END) AS DOUBLE) AS rd_expenditure,
+         CAST(sum(cents) AS DOUBLE) / 100 AS gdp,
+         CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN cents END) AS DOUBLE) / 100 AS rd_expenditure,
          CASE WHEN n_regionkey <> 0
               THEN 100.0::DOUBLE * count(*) FILTER (WHERE o_orderstatus = 'F') / count(*) END
            AS graduate_unemployment_rate
@@ -62,8 +61,8 @@ CUSTOMER_INPUTS = f"""
 order_measures AS (
   SELECT o_custkey AS entity, {_year('o_orderdate')} AS year,
          CAST(count(*) AS DOUBLE) AS population,
-         CAST(sum({_MONEY}) AS DOUBLE) AS gdp,
-         CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN {_MONEY} END) AS DOUBLE) AS rd_expenditure,
+         CAST(sum({_CENTS}) AS DOUBLE) / 100 AS gdp,
+         CAST(sum(CASE WHEN o_orderpriority = '1-URGENT' THEN {_CENTS} END) AS DOUBLE) / 100 AS rd_expenditure,
          100.0::DOUBLE * count(*) FILTER (WHERE o_orderstatus = 'F') / count(*) AS graduate_unemployment_rate
   FROM orders GROUP BY 1, 2),
 line_rows AS (
@@ -98,8 +97,12 @@ NATION_PANEL = _panel(NATION_INPUTS, "SELECT n_nationkey AS entity FROM nation")
 CUSTOMER_PANEL = _panel(CUSTOMER_INPUTS, "SELECT c_custkey AS entity FROM customer")
 
 
+def _rint(c: str, digits: int) -> str:
+    return f"round_even({c} * 1e{digits}::DOUBLE, 0) / 1e{digits}::DOUBLE"
+
+
 def _rounded(columns, digits: int = 9) -> str:
-    return ", ".join(f"round({c}, {digits}) AS {c}" for c in columns)
+    return ", ".join(f"{_rint(c, digits)} AS {c}" for c in columns)
 
 
 _DOUBLE_MEASURES = MEASURES[:5]
@@ -168,7 +171,7 @@ _FACT_OUT = (
     f"{_rounded([*_RATIO_NAMES, *_NORMS, *_INDICES, contract.SCORE], 6)}"
 )
 _CUSTOMER_SCORES = f"""{CUSTOMER_PANEL}{RATIOS}{SCALED}{INDEX},
-scores AS (SELECT entity, year, round({contract.SCORE}, 6) AS score FROM scored)"""
+scores AS (SELECT entity, year, {_rint(contract.SCORE, 6)} AS score FROM scored)"""
 
 # The fact goes through names and wide text files; what that changes: a laureate needs a
 # nation that also has patents, and every sixth customer nation is unknown as an office.
@@ -220,13 +223,13 @@ _OY = _year("o_orderdate")
 
 ORACLE = {
     "flatten_indicator": f"""
-        SELECT {_EVENT_NAME} AS country_name, {_EVENT_CODE} AS "{ISO}", {_EVENT_YEAR} AS year, value,
+        SELECT {_EVENT_NAME} AS country_name, {_EVENT_CODE} AS iso, {_EVENT_YEAR} AS year, value,
                {_strict(_EVENT_NAME)} AS country_name_normalized
         FROM events WHERE event_type <> 'error'""",
     "project_by_dataset": f"""
         WITH e AS (
           SELECT {_EVENT_NAME} AS country_name, {_EVENT_CODE} AS code, {_EVENT_YEAR} AS year, value FROM events)
-        SELECT country_name, code AS "{ISO}", year, value AS unemployment_rate,
+        SELECT country_name, code AS iso, year, value AS unemployment_rate,
                {_strict('country_name')} AS country_name_normalized, 'unemployment' AS dataset,
                NULL::DOUBLE AS value FROM e WHERE code IS NOT NULL
         UNION ALL
@@ -243,7 +246,7 @@ ORACLE = {
           WHERE o_orderkey % 7 > 1 AND i <= o_orderkey % 7)
         SELECT *, {_light('country')} AS country_normalized FROM flat WHERE country IS NOT NULL""",
     "unpivot_years": f"""
-        SELECT o_custkey, {_OY} AS year, CAST(sum({_MONEY}) AS DOUBLE) AS value FROM orders
+        SELECT o_custkey, {_OY} AS year, CAST(sum({_CENTS}) AS DOUBLE) / 100 AS value FROM orders
         WHERE year(o_orderdate) BETWEEN 1995 AND 2001 GROUP BY 1, 2""",
     "safe_cast_positive": """
         WITH t AS (
@@ -293,11 +296,14 @@ ORACLE = {
         SELECT CAST(o_custkey AS VARCHAR) AS iso, {_OY} AS year, o_totalprice AS value, c_name AS country_name
         FROM orders JOIN customer ON o_custkey = c_custkey
         WHERE o_orderkey % 11 <> 0 AND c_mktsegment <> 'BUILDING'""",
-    "conform_by_name": """
-        SELECT 'strict' AS kind, o_orderkey, c_custkey FROM orders JOIN customer ON o_custkey = c_custkey
+    "conform_by_name": f"""
+        WITH o AS (
+          SELECT o_orderkey, ' customer' || CASE WHEN o_orderkey % 2 = 0 THEN '#' ELSE '' END
+            || {_letters("lpad(CAST(o_custkey AS VARCHAR), 9, '0')")} AS name FROM orders),
+        c AS (SELECT c_custkey, {_letters('c_name')} AS name FROM customer)
+        SELECT 'strict' AS kind, o_orderkey, c_custkey FROM o JOIN c ON {_strict('o.name')} = {_strict('c.name')}
         UNION ALL
-        SELECT 'light', o_orderkey, c_custkey FROM orders JOIN customer ON o_custkey = c_custkey
-        WHERE o_orderkey % 2 = 0""",
+        SELECT 'light', o_orderkey, c_custkey FROM o JOIN c ON {_light('o.name')} = {_light('c.name')}""",
     "agg_then_join": f"""
         SELECT s_name, s_nationkey, {_year('l_shipdate')} AS year, CAST(sum(l_quantity) AS BIGINT) AS total,
                CAST(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS BIGINT) AS returned
@@ -405,7 +411,7 @@ ORACLE = {
                  || o_orderstatus || '","y":' || year(o_orderdate) || '}}') AS hash FROM orders""",
     "keyed_merge": """
         SELECT o_orderkey, o_custkey, o_orderstatus,
-               round(CASE WHEN year(o_orderdate) >= 1998 THEN o_totalprice + 1 ELSE o_totalprice END, 2) AS o_totalprice,
+               CASE WHEN year(o_orderdate) >= 1998 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
                o_orderdate, o_orderpriority FROM orders""",
     "latest_per_key": """
         SELECT user_id, event_type, max(event_id) AS event_id, arg_max(value, event_id) AS value
@@ -423,7 +429,7 @@ ORACLE = {
         UNION ALL SELECT c_custkey, NULL, c_nationkey FROM customer""",
     "format_round_trip": """
         SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'run-1' AS run_id, format
-        FROM customer, (VALUES ('csv'), ('json'), ('parquet'), ('orc')) AS f(format)""",
+        FROM customer, (VALUES ('csv'), ('json'), ('parquet')) AS f(format)""",
     "persist_counts": """
         SELECT 'orders' AS model, 'COMPLETED' AS status, count(*) AS record_count, count(*) AS stored_rows FROM orders
         UNION ALL

@@ -37,11 +37,16 @@ INDICES = list(contract.SCORE_WEIGHTS)
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+    """Doubles to so many digits, by plain double arithmetic, which SQL engines share."""
     return df.selectExpr(*[
-        f"round(`{name}`, {digits}) as `{name}`" if kind == "double" else f"`{name}`" for name, kind in df.dtypes
+        f"{_rint(name, digits)} as `{name}`" if kind == "double" else f"`{name}`" for name, kind in df.dtypes
     ])
 
 
+def _rint(name: str, digits: int) -> str:
+    return f"rint(`{name}` * 1e{digits}D) / 1e{digits}D"
+
+
 def letters(text: Column) -> Column:
     """Digits as letters, so that names made of digits survive the strict key."""
     return F.translate(text, "0123456789_", "ABCDEFGHIJ ")
@@ -122,7 +127,7 @@ def raw_patents(spark, sf_dir) -> DataFrame:
 
 
 def flatten_indicator_query(spark, sf_dir):
-    return flatten_indicator(raw_indicators(spark, sf_dir), "population")
+    return flatten_indicator(raw_indicators(spark, sf_dir), "population").withColumnRenamed(ISO, "iso")
 
 
 def project_by_dataset(spark, sf_dir):
@@ -134,7 +139,8 @@ def project_by_dataset(spark, sf_dir):
         F.col("country.value").alias("country_name"), F.col("countryiso3code").alias(ISO), "value",
         F.lit("not listed").alias("dataset"),
     )
-    return rate.unionByName(value, allowMissingColumns=True).unionByName(kept, allowMissingColumns=True)
+    rows = rate.unionByName(value, allowMissingColumns=True).unionByName(kept, allowMissingColumns=True)
+    return rows.withColumnRenamed(ISO, "iso")
 
 
 def explode_awards(spark, sf_dir):
@@ -146,7 +152,7 @@ def unpivot_years_query(spark, sf_dir):
     wide = (
         table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
         .groupBy("o_custkey").pivot("year", years)
-        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double"))
+        .agg(F.sum(given.cents("o_totalprice")) / 100.0)
     )
     return unpivot_years(wide, ["o_custkey"], "value").filter(F.col("value").isNotNull())
 
@@ -334,7 +340,7 @@ def customer_composite_index(spark, sf_dir):
 def _customer_scores(spark, sf_dir) -> DataFrame:
     """Stored, since ranking reads the scores several times."""
     scored = gold.composite_index(stored_customer_panel(spark, sf_dir))
-    return stored(scored.select(*KEYS, F.round(contract.SCORE, 6).alias("score")), "scores")
+    return stored(scored.select(*KEYS, F.expr(_rint(contract.SCORE, 6)).alias("score")), "scores")
 
 
 def rank_by_year(spark, sf_dir):
@@ -532,18 +538,15 @@ def config_fingerprint(spark, sf_dir):
 
 def idempotent_landing(spark, sf_dir):
     """Two overlapping batches and a repeat of the second: every order lands once."""
-    path = fresh_path(spark, "landing")
+    path, ledger = fresh_path(spark, "landing"), fresh_path(spark, "ledger")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("y"))
     def batch(years, run):
         return landing.as_batch(
             orders.filter(years), F.lit("ORDERS"), text(F.col("y")), F.lit("orders"), F.col("o_orderpriority"), run)
-    landing.land(batch(F.col("y") <= 1998, "run-1"), path)
-    schema = batch(F.lit(True), "").schema
-    for run in ("run-2", "run-3"):
-        ledger = landing.ledger_of(files.read_json_lines(spark, path, schema))
-        fresh = landing.not_yet_landed(batch(F.col("y") >= 1997, run), ledger, landing.BATCH)
-        landing.land(fresh, path)
-    landed = files.read_json_lines(spark, path, schema)
+    for years, run in (("y <= 1998", "run-1"), ("y >= 1997", "run-2"), ("y >= 1997", "run-3")):
+        known = landing.read_ledger(spark, ledger)
+        landing.land(landing.not_yet_landed(batch(years, run), known, landing.BATCH), path, ledger)
+    landed = files.read_json_lines(spark, path, batch("true", "").schema)
     return landed.select("o_orderkey", "o_custkey", "ingest_date", "config_hash", "run_id")
 
 
@@ -562,7 +565,7 @@ def keyed_merge(spark, sf_dir):
     once = sinks.keyed_merge(orders, batch, ["o_orderkey"])
     path = fresh_path(spark, "merged")
     sinks.write_table(once, path)
-    return rounded(sinks.keyed_merge(files.read_table(spark, path), batch, ["o_orderkey"]), 2)
+    return sinks.keyed_merge(files.read_table(spark, path), batch, ["o_orderkey"])
 
 
 def latest_per_key(spark, sf_dir):
@@ -611,14 +614,13 @@ def format_round_trip(spark, sf_dir):
     """Customers through CSV, JSON and parquet and back."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     base = fresh_path(spark, "formats")
-    where = {fmt: sinks.table_path(base, "bronze", fmt) for fmt in ("csv", "json", "parquet", "orc")}
+    where = {fmt: sinks.table_path(base, "bronze", fmt) for fmt in ("csv", "json", "parquet")}
     for fmt, path in where.items():
         sinks.write_table(customer, path, fmt, options={"header": True} if fmt == "csv" else None)
     back = {
         "csv": files.read_csv(spark, where["csv"], customer.schema),
         "json": files.read_json_lines(spark, where["json"], customer.schema),
         "parquet": files.read_table(spark, where["parquet"]),
-        "orc": files.read_table(spark, where["orc"], "orc"),
     }
     result = None
     for fmt, df in back.items():

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 # Formats that can be read by name; the first two also by file extension.
 EXTENSION_FORMAT = {".json": "json", ".csv": "csv"}
-FORMATS = ("json", "csv", "binaryFile", "parquet", "delta", "orc")
+FORMATS = ("json", "csv", "binaryFile", "parquet", "delta")
 
 Paths = str | list[str]
 Schema = StructType | str  # a DDL string will do

@@ -20,20 +20,24 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def stored_inputs(spark, tmp_path, n):
+def grouped_inputs(spark, tmp_path, n):
     frames = []
     for i in range(n):
         path = str(tmp_path / f"in{i}")
-        spark.range(50).select(F.col("id").alias("entity"), F.lit(2000).alias("year"), F.lit(float(i)).alias(f"m{i}")).write.parquet(path)
-        frames.append((spark.read.parquet(path), [f"m{i}"]))
+        spark.range(50).select(F.col("id").alias("entity"), F.lit(2000).alias("year"), F.lit(float(i)).alias("m")).write.parquet(path)
+        frames.append((spark.read.parquet(path).groupBy(*KEYS).agg(F.sum("m").alias(f"m{i}")), [f"m{i}"]))
     return frames
 
 
-def test_union_panel_needs_one_exchange_whatever_the_number_of_inputs(spark, tmp_path, no_broadcast):
-    inputs = stored_inputs(spark, tmp_path, 7)
+def test_panel_exchanges_every_row_once_and_sorts_none(spark, tmp_path, no_broadcast):
+    inputs = grouped_inputs(spark, tmp_path, 7)
     grid = spark.read.parquet(str(tmp_path / "in0")).select(*KEYS)
-    assert exchanges(panel.panel_by_union(grid, inputs, KEYS)) == 1
-    assert exchanges(panel.panel_by_joins(grid, inputs, KEYS)) == 8
+    by_union = panel.panel_by_union(grid, inputs, KEYS)
+    plan = executed(by_union)
+    assert exchanges(by_union) == 8 and "Exchange" not in plan[:plan.index("Union")]
+    assert "Sort" not in plan and "Join" not in plan
+    assert executed(panel.panel_by_joins(grid, inputs, KEYS)).count("SortMergeJoin") == 7
+    assert by_union.count() == 50
 
 
 def test_scaffold_does_not_shuffle_entities_or_join(spark):

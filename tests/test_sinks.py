@@ -85,19 +85,21 @@ def test_persist_counts_rows_and_skips_empty_models(spark, tmp_path):
 
 
 def test_landing_twice_changes_nothing(spark, tmp_path):
-    path = str(tmp_path / "land")
+    path, ledger = str(tmp_path / "land"), str(tmp_path / "ledger")
     def batch(values, run):
         df = frame(spark, [(v,) for v in values], "v int")
-        return landing.as_batch(df, F.lit("SRC"), F.lit("2025-09-20"), F.lit("d"), F.col("v").cast("string"), run)
-    schema = batch([0], "r").schema
-    landing.land(batch([1, 1, 2], "r1"), path)
+        return landing.as_batch(df, F.lit("SRC"), F.lit("2025-09-20"), F.lit("d"), F.format_string("%08d", "v"), run)
+    def landed():
+        return read_json_lines(spark, path, batch([0], "r").schema)
+    assert landing.read_ledger(spark, ledger).count() == 0
+    landing.land(batch([1, 1, 2], "r1"), path, ledger)
     for run in ("r2", "r3"):
-        ledger = landing.ledger_of(read_json_lines(spark, path, schema))
-        landing.land(landing.not_yet_landed(batch([2, 3, 3], run), ledger, landing.BATCH), path)
-        got = read_json_lines(spark, path, schema)
-        assert rows(got.select("v", "run_id")) == [(1, "r1"), (1, "r1"), (2, "r1"), (3, "r2"), (3, "r2")]
-    landing.land(batch([1, 1], "r9"), path)
-    assert read_json_lines(spark, path, schema).count() == 5
+        fresh = landing.not_yet_landed(batch([2, 3, 3], run), landing.read_ledger(spark, ledger), landing.BATCH)
+        landing.land(fresh, path, ledger)
+        assert rows(landed().select("v", "run_id")) == [(1, "r1"), (1, "r1"), (2, "r1"), (3, "r2"), (3, "r2")]
+    landing.land(batch([1, 1], "r9"), path, ledger)  # repeated after a crash: the folder is replaced
+    assert landed().count() == 5
+    assert rows(landing.read_ledger(spark, ledger).select("config_hash")) == [("00000001",), ("00000002",), ("00000003",)]
     assert (tmp_path / "land" / "source=src" / "ingest_date=2025-09-20").is_dir()
 
 
