@@ -30,8 +30,9 @@ def differences(df, con, sql: str) -> list[str]:
     types = {n: SPARK_TO_DUCK.get(t, t) for n, t in df.dtypes}
     found += [f"type of {n}: {types[n]} != {described[n]}" for n in names if types[n] != described[n]]
     order = [list(described).index(n) for n in names]
-    expected = Counter(tuple(row[i] for i in order) for row in expected_rows)
-    actual = Counter(tuple(row) for row in df.select(*[f"`{n}`" for n in names]).collect())
+    # As text, so that 0.0 and -0.0 differ and NaN equals itself.
+    expected = Counter(repr(tuple(row[i] for i in order)) for row in expected_rows)
+    actual = Counter(repr(tuple(row)) for row in df.select(*[f"`{n}`" for n in names]).collect())
     if sum(actual.values()) != sum(expected.values()):
         found.append(f"rows {sum(actual.values())} != {sum(expected.values())}")
     only_spark, only_sql = actual - expected, expected - actual
