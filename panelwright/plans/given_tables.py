@@ -134,12 +134,13 @@ def shipped_by_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nation_line_measures(spark: SparkSession, sf_dir: str, shipped: DataFrame | None = None) -> DataFrame:
+    """``shipped`` is ``shipped_by_supplier``, if the caller has stored it."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     origin, office = F.col("s_nationkey"), F.col("c_nationkey")
+    lines = shipped_by_supplier(spark, sf_dir) if shipped is None else shipped
     return (
-        shipped_by_supplier(spark, sf_dir)
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy(origin.alias("entity"), "year")
         .agg(
             F.count_distinct("l_suppkey").cast("double").alias("researchers_count"),

@@ -94,15 +94,15 @@ def raw_laureates(spark, sf_dir) -> DataFrame:
     )
 
 
-def traded(spark, sf_dir) -> DataFrame:
+def traded(spark, sf_dir, shipped: DataFrame | None = None) -> DataFrame:
     """Quantity per customer nation (office, some unknown), supplier nation (origin) and ship year."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, sf_dir, "nation")
     office = nation.select(F.col("n_nationkey").alias("_office"), F.col("n_name").alias("Office"))
     origin = nation.select(F.col("n_nationkey").alias("_origin"), F.col("n_name").alias("Origin"))
+    lines = given.shipped_by_supplier(spark, sf_dir) if shipped is None else shipped
     return (
-        given.shipped_by_supplier(spark, sf_dir)
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("c_nationkey", "s_nationkey", "year")
         .agg(F.sum("quantity").cast("long").alias("quantity"))
         .join(office, (F.col("c_nationkey") == F.col("_office")) & (F.col("c_nationkey") % 6 != 0), "left")
@@ -111,11 +111,11 @@ def traded(spark, sf_dir) -> DataFrame:
     )
 
 
-def raw_patents(spark, sf_dir) -> DataFrame:
+def raw_patents(spark, sf_dir, shipped: DataFrame | None = None) -> DataFrame:
     """The wide file shape: one text column per year."""
     years = list(range(given.FIRST_YEAR, given.LAST_YEAR + 1))
     wide = (
-        traded(spark, sf_dir).groupBy("Office", "Office (Code)", "Origin")
+        traded(spark, sf_dir, shipped).groupBy("Office", "Office (Code)", "Origin")
         .pivot("year", years).agg(F.sum("quantity"))
     )
     return wide.select(
@@ -360,9 +360,10 @@ def fact_innovation(spark, sf_dir):
     nation = table(spark, sf_dir, "nation")
     name, iso = letters(F.col("n_name")), F.concat(F.lit("N"), F.col("n_nationkey"))
     reference = nation.select(iso.alias(ISO), name.alias("official_name_en"))
+    shipped = stored(given.shipped_by_supplier(spark, sf_dir), "shipped")
     measured = stored(
         given.nation_order_measures(spark, sf_dir)
-        .join(given.nation_line_measures(spark, sf_dir).select(*KEYS, "researchers_count"), KEYS, "full")
+        .join(given.nation_line_measures(spark, sf_dir, shipped).select(*KEYS, "researchers_count"), KEYS, "full")
         .join(nation, F.col("entity") == F.col("n_nationkey"))
         .select(name.alias("name"), iso.alias("iso"), "year", *contract.MEASURES[:5]),
         "raw-indicators",
@@ -382,7 +383,7 @@ def fact_innovation(spark, sf_dir):
         "unemployment": indicator("graduate_unemployment_rate", "unemployment"),
     }
     patents = flatten_patents(
-        stored(raw_patents(spark, sf_dir).withColumn("Origin", letters(F.col("Origin")))
+        stored(raw_patents(spark, sf_dir, shipped).withColumn("Origin", letters(F.col("Origin")))
                .withColumn("Office", letters(F.col("Office"))), "raw-patents"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     winners = (
