@@ -23,6 +23,12 @@ def as_batch(
     )
 
 
+def batch_folder(path: str, source: str, day: str, dataset: str, config_hash: str) -> str:
+    """The folder of one batch; its coordinates are plain words, dates and hex digits."""
+    values = (source.lower(), day, dataset, config_hash)
+    return "/".join([path, *[f"{name}={value}" for name, value in zip(BATCH, values)]])
+
+
 def not_yet_landed(batch: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key the ledger does not list.
 

@@ -382,6 +382,9 @@ ORACLE = {
     "envelope_records": """
         SELECT o_orderkey AS k, CAST(i AS INTEGER) AS i, o_orderstatus AS s
         FROM orders, generate_series(0, 1) AS g(i) WHERE o_orderkey % 9 > 1""",
+    "raw_page_records": """
+        SELECT '{"k":' || o_orderkey || ',"i":' || i || ',"s":"' || o_orderstatus || '"}' AS record
+        FROM orders, generate_series(0, 1) AS g(i) WHERE o_orderkey % 9 > 1""",
     "keyed_envelope_records": "SELECT conv_id, turn, role, text FROM conversations WHERE turn % 3 <> 2",
     "source_routing": """
         SELECT 'docs' AS domain_source, d.doc_id AS dataset_name,

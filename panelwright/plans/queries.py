@@ -469,16 +469,24 @@ def lake_uri(spark, sf_dir):
     )
 
 
-def envelope_records(spark, sf_dir):
-    """Each order as one landed page of two records; every ninth page is an error object."""
+def order_pages(spark, sf_dir) -> DataFrame:
+    """Each order as one fetched page of two records; two of nine pages hold no records."""
     key = F.col("o_orderkey")
     def record(i):
         return F.struct(key.alias("k"), F.lit(i).alias("i"), F.col("o_orderstatus").alias("s"))
     page = F.concat(
         F.lit('[{"page":1,"total":2},'), F.to_json(F.array(record(0), record(1))), F.lit("]"))
-    pages = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.when(key % 9 == 0, '{"message":"no data"}').when(key % 9 == 1, '[{"page":9},null]').otherwise(page).alias("page"))
-    return envelopes.records_of_meta_pages(pages, "page", "k BIGINT, i INT, s STRING")
+
+
+def envelope_records(spark, sf_dir):
+    return envelopes.records_of_meta_pages(order_pages(spark, sf_dir), "page", "k BIGINT, i INT, s STRING")
+
+
+def raw_page_records(spark, sf_dir):
+    """The same records as text, as they are landed."""
+    return envelopes.raw_records(order_pages(spark, sf_dir), "page")
 
 
 def keyed_envelope_records(spark, sf_dir):
@@ -708,6 +716,7 @@ QUERIES = {
     "status_rollup": status_rollup,
     "lake_uri": lake_uri,
     "envelope_records": envelope_records,
+    "raw_page_records": raw_page_records,
     "keyed_envelope_records": keyed_envelope_records,
     "source_routing": source_routing,
     "summary_valid_paths": summary_valid_paths,

@@ -5,17 +5,21 @@ recorded under its name and the others are still stored.
 """
 
 import datetime
+import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright import contract
+from panelwright.functions.keys import config_fingerprint
 from panelwright.functions.paths import lake_uri
+from panelwright.operators import landing
 from panelwright.operators.flatten import flatten_indicator, flatten_laureates, flatten_patents
 from panelwright.operators.quality import require_inputs, require_rows
-from panelwright.operators.sinks import persist_model, table_path, write_summary
+from panelwright.operators.sinks import APPEND, persist_model, table_path, write_summary, write_table
 from panelwright.plans import gold, silver
-from panelwright.sources.files import read_by_extension, read_json_array, read_table
+from panelwright.sources.envelopes import raw_records
+from panelwright.sources.files import read_by_extension, read_landed, read_table
 from panelwright.sources.schemas import BY_DATASET
 from panelwright.sources.summaries import is_completed, result_rows, valid_output_paths
 
@@ -25,6 +29,78 @@ def located(path: str, root: str) -> str:
     return path if "://" in path else f"{root.rstrip('/')}/{path.strip('/')}"
 
 
+def land_source(
+    spark: SparkSession, payload: dict, pages: DataFrame, root: str, run_id: str, day: str
+) -> dict:
+    """Land the records of one source's pages (column ``page``) once per day and configuration."""
+    started = time.monotonic()
+    source, dataset = payload["domain_source"], payload["dataset_name"]
+    path, ledger = table_path(root, "bronze", "records"), table_path(root, "bronze", "ledger")
+    batch = (source.lower(), day, dataset, config_fingerprint(payload))
+    schema = ", ".join(f"{c} STRING" for c in landing.BATCH)
+    coordinates = spark.createDataFrame([batch], schema)
+    folder = landing.batch_folder(path, *batch)
+    result = {
+        "status": contract.COMPLETED, "correlation_id": run_id, "record_count": 0,
+        "domain_source": source, "domain_source_type": payload["domain_source_type"], "dataset_name": dataset,
+        "message": "No records.", "output_paths": [], "error_details": None,
+    }
+    known = landing.read_ledger(spark, ledger)
+    if landing.not_yet_landed(coordinates, known, landing.BATCH).isEmpty():
+        result.update(status=contract.SKIPPED, message="Landed before.", output_paths=[folder])
+    else:
+        records = raw_records(pages, "page", None if source == "WORLDBANK" else dataset)
+        rows = Observation(f"records of {dataset}")
+        counted = records.observe(rows, F.count(F.lit(1)).alias("n"))
+        write_table(counted, folder, "text")
+        if rows.get["n"] > 0:
+            write_table(coordinates, ledger, mode=APPEND)
+            result.update(record_count=rows.get["n"], message="Landed.", output_paths=[folder])
+    result["duration_in_ms"] = int((time.monotonic() - started) * 1000)
+    return result
+
+
+def run_bronze(
+    spark: SparkSession, manifest: dict, pages: dict[str, DataFrame], root: str, run_id: str, day: str,
+    env: str = "dev",
+) -> dict:
+    """Landing layer: fetched pages per dataset to raw JSON lines and a summary of where they are.
+
+    Pages are frames with one page of JSON text per row, however they were fetched.
+    """
+    results = []
+    for source in manifest["sources"]:
+        payload = source["source_config_payload"]
+        try:
+            results.append(land_source(spark, payload, pages[payload["dataset_name"]], root, run_id, day))
+        except Exception as error:
+            results.append({
+                "status": contract.FAILED, "correlation_id": run_id, "record_count": 0, "duration_in_ms": 0,
+                "domain_source": payload["domain_source"], "domain_source_type": payload["domain_source_type"],
+                "dataset_name": payload["dataset_name"], "message": "Landing failed.", "output_paths": [],
+                "error_details": {"error_message": repr(error)},
+            })
+    done = all(r["status"] in (contract.COMPLETED, contract.SKIPPED) for r in results)
+    return leave_summary(spark, "bronze", "processed_items", results, done, root, run_id, env)
+
+
+def leave_summary(
+    spark: SparkSession, layer: str, counter: str, results: list[dict], done: bool, root: str, run_id: str, env: str
+) -> dict:
+    summary = {
+        "status": contract.COMPLETED if done else contract.FAILED,
+        "env": env,
+        "etl_layer": layer,
+        "correlation_id": run_id,
+        "timestamp": datetime.datetime.now(datetime.timezone.utc).isoformat(),
+        counter: len(results),
+        "duration_in_ms": sum(r["duration_in_ms"] for r in results),
+        "results": results,
+    }
+    write_summary(spark, summary, table_path(root, layer, f"outputs/summaries/{run_id}"))
+    return summary
+
+
 def silver_sources(
     spark: SparkSession, manifest: dict, landing_summary: DataFrame, root: str
 ) -> dict[str, DataFrame | None]:
@@ -35,14 +111,15 @@ def silver_sources(
     manual = {p["dataset_name"]: located(p["file_path"], root) for p in manifest["manual_data_paths"]}
     landed: dict[str, list[str]] = {}
     uri = F.when(F.col("path").startswith("https://"), lake_uri(F.col("path"))).otherwise(F.col("path"))
-    files = valid_output_paths(result_rows(landing_summary)).withColumn("path", uri)
+    results = result_rows(landing_summary)
+    files = valid_output_paths(results, include_skipped=True).withColumn("path", uri)
     for row in files.collect():  # the paths of one run: a handful per dataset
         landed.setdefault(row["dataset_name"], []).append(row["path"])
 
     def raw(name: str) -> DataFrame | None:
         if name in manual:
             return read_by_extension(spark, manual[name])
-        return read_json_array(spark, landed[name], BY_DATASET[name]) if name in landed else None
+        return read_landed(spark, landed[name], BY_DATASET[name]) if name in landed else None
 
     flatten = {"laureates": flatten_laureates, "patents": flatten_patents}
     frames = {}
@@ -143,15 +220,4 @@ def store(
                 "error_details": {"error_message": str(error)},
             })
     done = all(r["status"] == contract.COMPLETED for r in results)
-    summary = {
-        "status": contract.COMPLETED if done else contract.FAILED,
-        "env": env,
-        "etl_layer": layer,
-        "correlation_id": run_id,
-        "timestamp": datetime.datetime.now(datetime.timezone.utc).isoformat(),
-        "processed_models": len(results),
-        "duration_in_ms": sum(r["duration_in_ms"] for r in results),
-        "results": results,
-    }
-    write_summary(spark, summary, table_path(base, layer, f"outputs/summaries/{run_id}"))
-    return summary
+    return leave_summary(spark, layer, "processed_models", results, done, base, run_id, env)

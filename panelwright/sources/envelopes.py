@@ -21,3 +21,13 @@ def records_of_keyed_pages(
 ) -> DataFrame:
     """``{dataset: [record, ...]}`` to records; a page without the key gives no rows."""
     return _records_at(pages, page, f"$.{dataset}", schema, keep)
+
+
+def raw_records(pages: DataFrame, page: str, dataset: str | None = None) -> DataFrame:
+    """Records of pages as their JSON text, all fields kept, for landing.
+
+    With ``dataset`` the pages are ``{dataset: [...]}``, without it ``[meta, [...]]``.
+    """
+    json_path = "$[1]" if dataset is None else f"$.{dataset}"
+    texts = F.from_json(F.get_json_object(page, json_path), "ARRAY<STRING>")
+    return pages.select(F.explode(texts).alias("record")).filter(F.col("record").isNotNull())

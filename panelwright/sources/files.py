@@ -39,6 +39,18 @@ def read_json_lines(spark: SparkSession, paths: Paths, schema: Schema | None = N
     return reader.json(paths)
 
 
+def read_landed(spark: SparkSession, paths: list[str], schema: Schema) -> DataFrame:
+    """Landed records: ``.json`` files hold one array each, folders hold JSON lines."""
+    arrays = [p for p in paths if p.lower().endswith(".json")]
+    folders = [p for p in paths if p not in arrays]
+    scans = []
+    if arrays:
+        scans.append(read_json_array(spark, arrays, schema))
+    if folders:
+        scans.append(read_json_lines(spark, folders, schema))
+    return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
+
+
 def read_table(
     spark: SparkSession, paths: Paths, fmt: str = "parquet", merge_schema: bool = False
 ) -> DataFrame:

@@ -38,9 +38,18 @@ def summary_is_valid(summary_status: Column, results: Column) -> Column:
     return is_completed(summary_status) & all_done
 
 
-def valid_output_paths(results: DataFrame, datasets: list[str] | None = None) -> DataFrame:
-    """(domain_source, dataset_name, path) of every completed result."""
-    chosen = results.filter(is_completed(F.col("status")))
+def valid_output_paths(
+    results: DataFrame, datasets: list[str] | None = None, include_skipped: bool = False
+) -> DataFrame:
+    """(domain_source, dataset_name, path) of every completed result.
+
+    ``include_skipped`` adds what a skipped landing points to: records that an
+    earlier run of the same day and configuration has landed already.
+    """
+    usable = is_completed(F.col("status"))
+    if include_skipped:
+        usable = usable | (F.upper("status") == contract.SKIPPED)
+    chosen = results.filter(usable)
     if datasets is not None:
         chosen = chosen.filter(F.col("dataset_name").isin(datasets))
     return chosen.select(

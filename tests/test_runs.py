@@ -181,3 +181,50 @@ def test_a_failed_model_keeps_its_name_and_the_others(spark, lake, silver, tmp_p
     by_name = {r["model"]: r for r in fact["results"]}
     assert by_name["dim_country"]["status"] == "COMPLETED" and by_name["fact_innovation"]["status"] == "FAILED"
     assert "RD_EXPENDITURE" in by_name["fact_innovation"]["error_details"]["error_message"]
+
+
+BRONZE = {"sources": [
+    {"source_config_payload": {"domain_source_type": "api", "domain_source": source, "dataset_name": dataset,
+                               "request_payload": {"n": dataset}}}
+    for source, dataset in [("NOBELPRIZE", "laureates"), *[("WORLDBANK", d) for d in contract.INDICATOR_VALUE_COLUMN]]]}
+
+
+def landed_pages(spark, lake):
+    """The source files again, as fetched pages of the two shapes, plus an empty last page."""
+    pages = {}
+    for source in BRONZE["sources"]:
+        dataset = source["source_config_payload"]["dataset_name"]
+        records = [json.loads(p.read_text()) for p in sorted((lake / "bronze").glob(f"{dataset}*.json"))]
+        wrapped = [{dataset: r} for r in [*records, []]] if dataset == "laureates" else [[{"page": 1}, r] for r in records] + [[{"page": 9}, None]]
+        pages[dataset] = spark.createDataFrame([(json.dumps(w),) for w in wrapped], "page string")
+    return pages
+
+
+def test_all_three_layers_from_pages(spark, lake, gold, tmp_path):
+    pages = landed_pages(spark, lake)
+    first = runs.run_bronze(spark, BRONZE, pages, str(tmp_path), "b1", "2025-09-20")
+    assert first["status"] == "COMPLETED", first
+    assert {r["dataset_name"]: r["record_count"] for r in first["results"]} == {
+        "laureates": 6, **{d: 8 for d in contract.INDICATOR_VALUE_COLUMN}}
+    again = runs.run_bronze(spark, BRONZE, pages, str(tmp_path), "b2", "2025-09-20")
+    assert {r["status"] for r in again["results"]} == {"SKIPPED"} and again["status"] == "COMPLETED"
+    assert [r["output_paths"] for r in again["results"]] == [r["output_paths"] for r in first["results"]]
+
+    manifest = {"references_tables": {"country_codes": f"file://{lake}/references/codes.csv"},
+                "manual_data_paths": [{"domain_source": "PATENTS", "dataset_name": "patents", "file_path": f"file://{lake}/manual/patents.csv"}]}
+    landed = read_summaries(spark, str(tmp_path / "bronze" / "outputs" / "summaries" / "b2"))
+    assert runs.run_silver(spark, manifest, landed, str(tmp_path), "s")["status"] == "COMPLETED"
+    stored = read_summaries(spark, str(tmp_path / "silver" / "outputs" / "summaries" / "s"))
+    assert runs.run_gold(spark, GOLD, stored, str(tmp_path), "g")["status"] == "COMPLETED"
+    facts = [sorted(map(str, model(spark, root, "gold", "fact_innovation").collect())) for root in (tmp_path, lake)]
+    assert facts[0] == facts[1]
+
+
+def test_landing_failures_and_empty_sources(spark, tmp_path):
+    pages = {"laureates": spark.createDataFrame([(json.dumps({"laureates": []}),)], "page string"),
+             "rd": spark.createDataFrame([("x",)], "other string")}
+    got = runs.run_bronze(spark, BRONZE, pages, str(tmp_path), "b", "2025-09-20")
+    status = {r["dataset_name"]: (r["status"], r["output_paths"]) for r in got["results"]}
+    assert got["status"] == "FAILED"
+    assert status["laureates"] == ("COMPLETED", []) and status["rd"] == status["pkb"] == ("FAILED", [])
+    assert runs.landing.read_ledger(spark, str(tmp_path / "bronze" / "ledger")).count() == 0

@@ -22,6 +22,29 @@ def test_json_array_has_one_row_per_element_over_all_paths(spark, tmp_path):
     assert sorted(tuple(r) for r in rows) == [("Poland", "2000", 38.5)] * 3 + [("Poland", "2001", 38.5)]
 
 
+def test_landed_arrays_and_folders_of_lines_are_read_together(spark, tmp_path):
+    array = write(tmp_path / "a.JSON", [PAGE, PAGE])
+    (tmp_path / "lines").mkdir()
+    write(tmp_path / "lines" / "part-0.txt", json.dumps(PAGE) + "\n" + json.dumps(PAGE) + "\n" + json.dumps(PAGE))
+    folder = str(tmp_path / "lines")
+    assert files.read_landed(spark, [array, folder], schemas.INDICATOR).count() == 5
+    assert files.read_landed(spark, [folder], schemas.INDICATOR).count() == 3
+    assert files.read_landed(spark, [array], schemas.INDICATOR).count() == 2
+
+
+def test_raw_records_keep_all_fields(spark):
+    pages = spark.createDataFrame([(json.dumps([{"page": 1}, [{"a": 1, "deep": {"b": [1, 2]}}]]),), ("[1]",)], "page string")
+    assert [json.loads(r.record) for r in envelopes.raw_records(pages, "page").collect()] == [{"a": 1, "deep": {"b": [1, 2]}}]
+
+
+def test_skipped_landings_stay_readable(spark):
+    rows = spark.createDataFrame(
+        [("SKIPPED", "s", "d", ["p"]), ("FAILED", "s", "e", ["q"])],
+        "status string, domain_source string, dataset_name string, output_paths array<string>")
+    assert summaries.valid_output_paths(rows).count() == 0
+    assert [r.path for r in summaries.valid_output_paths(rows, include_skipped=True).collect()] == ["p"]
+
+
 def test_csv_is_all_strings_unless_a_schema_is_given(spark, tmp_path):
     path = write(tmp_path / "a.csv", "Office (Code),1980\nPL,7\n")
     assert files.read_csv(spark, path).dtypes == [("Office (Code)", "string"), ("1980", "string")]
