@@ -30,20 +30,20 @@ def log1p_minmax(
         raise ValueError("on_domain_error must be 'error' or 'null'")
 
     bounds, terms = [], []
-    for c in columns:
+    for i, c in enumerate(columns):
         value = f"coalesce(cast(`{c}` as double), 0D)"
-        low = f"log1p(`{c}_min`)"
+        low, width = f"log1p(min_{i})", f"log1p(max_{i}) - log1p(min_{i})"
         if on_domain_error == "null":
             value = f"if({value} > -1, {value}, null)"
         else:
-            complaint = f"raise_error('log1p is undefined for a value of {c}')"
-            low = f"if(`{c}_min` <= -1, cast({complaint} as double), {low})"
-        width = f"log1p(`{c}_max`) - log1p(`{c}_min`)"
-        bounds += [F.expr(f"min({value}) as `{c}_min`"), F.expr(f"max({value}) as `{c}_max`")]
+            name = c.replace("'", "\\'")
+            complaint = f"raise_error('log1p is undefined for a value of {name}')"
+            low = f"if(min_{i} <= -1, cast({complaint} as double), {low})"
+        bounds += [F.expr(f"min({value}) as min_{i}"), F.expr(f"max({value}) as max_{i}")]
         terms += [
-            f"'{c}_low', {low}",
-            f"'{c}_width', if({width} = 0, 1D, {width})",
-            f"'{c}_shift', if({width} = 0, 0.5D, 0D)",
+            f"'low_{i}', {low}",
+            f"'width_{i}', if({width} = 0, 1D, {width})",
+            f"'shift_{i}', if({width} = 0, 0.5D, 0D)",
         ]
     fit = df.agg(*bounds).selectExpr(f"named_struct({', '.join(terms)})").scalar()
 
@@ -51,8 +51,8 @@ def log1p_minmax(
     # refer to; as an expression, the optimizer would copy the subquery into each.
     fitted = df.select("*", F.explode(F.array(fit)).alias("_fit"))
     scaled = [
-        f"(log1p(cast(`{c}` as double)) - _fit.`{c}_low`) / _fit.`{c}_width` + _fit.`{c}_shift` as `{c}{suffix}`"
-        for c in columns
+        f"(log1p(cast(`{c}` as double)) - _fit.low_{i}) / _fit.width_{i} + _fit.shift_{i} as `{c}{suffix}`"
+        for i, c in enumerate(columns)
     ]
     return fitted.selectExpr("*", *scaled).drop("_fit")
 

@@ -162,6 +162,14 @@ def test_log1p_minmax(spark, column):
     assert got == pytest.approx(expected_norms(column), abs=1e-12)
 
 
+def test_log1p_accepts_any_column_name(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,)], "`it's a-b` double")
+    got = index.log1p_minmax(df, ["it's a-b"])
+    assert sorted(r["it's a-b_norm"] for r in got.collect()) == [0.0, 1.0]
+    with pytest.raises(Exception, match="value of it's a-b"):
+        index.log1p_minmax(df.selectExpr("-`it's a-b` as `it's a-b`"), ["it's a-b"]).collect()
+
+
 def test_log1p_domain(spark):
     df = spark.createDataFrame([(1.0,), (-1.0,), (3.0,)], "x double")
     with pytest.raises(Exception, match="log1p is undefined for a value of x"):

@@ -89,6 +89,15 @@ def test_top_k_limits_groups_before_the_exchange(spark, tmp_path):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def test_no_ranking_window_sees_a_whole_group(spark, tmp_path):
+    path = str(tmp_path / "s")
+    spark.range(100).select((F.col("id") % 3).alias("g"), F.rand(1).alias("score")).write.parquet(path)
+    plan = executed(index.rank_within(spark.read.parquet(path), "g", "score"))
+    ranking = [line for line in plan.splitlines() if "row_number()" in line and "Window [" in line]
+    assert ranking and all("_slice" in line.split("windowspecdefinition")[1] for line in ranking)
+    assert "SinglePartition" not in plan
+
+
 def test_merge_reads_only_touched_folders(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(10).select("id", (F.col("id") % 5).cast("int").alias("year"))
