@@ -5,6 +5,8 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import differences, duck
 from panelwright.plans import given_tables
+from panelwright.plans.oracle import ORACLE
+from panelwright.plans.queries import QUERIES
 from plan_text import executed
 
 SF = "/root/testdata/sf0.001"
@@ -16,10 +18,11 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
     df = queries()[name](spark, SF)
     assert differences(df, con, oracle_sql()[name]) == []
