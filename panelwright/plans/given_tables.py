@@ -15,9 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.operators.panel import Inputs
-from panelwright.operators.reshape import scaffold, year_range
+from panelwright.operators.reshape import scaffold, year_range_of
 
-FIRST_YEAR, LAST_YEAR = 1994, 2002  # one year more than the data on either side
 NATION_PRIZE = 497_000  # order value that makes a laureate
 CUSTOMER_PRIZE = 400_000
 
@@ -53,6 +52,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All years from the first order or shipment to the last one."""
+    ordered = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"))
+    shipped = table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"))
+    return year_range_of(ordered.union(shipped), "year")
+
+
 def cents(name: str) -> Column:
     """Money as whole cents: sums are exact, independent of row order, and cheaper than decimals."""
     return F.floor(F.col(name) * 100 + 0.5)
@@ -170,7 +176,7 @@ def nation_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 def nation_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("entity"))
-    return scaffold(nation, "entity", year_range(spark, FIRST_YEAR, LAST_YEAR))
+    return scaffold(nation, "entity", years(spark, sf_dir))
 
 
 def customer_order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,4 +229,4 @@ def customer_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 def customer_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("entity"))
-    return scaffold(customer, "entity", year_range(spark, FIRST_YEAR, LAST_YEAR))
+    return scaffold(customer, "entity", years(spark, sf_dir))

@@ -21,7 +21,7 @@ from panelwright.operators.flatten import (
     split_by_residence,
 )
 from panelwright.operators.panel import panel_by_joins, panel_by_union
-from panelwright.operators.reshape import scaffold, unpivot_years, year_range, year_range_of
+from panelwright.operators.reshape import scaffold, unpivot_years, year_columns, year_range_of
 from panelwright.plans import given_tables as given
 from panelwright.plans import gold, silver
 from panelwright.plans.given_tables import KEYS, table
@@ -113,11 +113,11 @@ def traded(spark, sf_dir, shipped: DataFrame | None = None) -> DataFrame:
 
 def raw_patents(spark, sf_dir, shipped: DataFrame | None = None) -> DataFrame:
     """The wide file shape: one text column per year."""
-    years = list(range(given.FIRST_YEAR, given.LAST_YEAR + 1))
     wide = (
         traded(spark, sf_dir, shipped).groupBy("Office", "Office (Code)", "Origin")
-        .pivot("year", years).agg(F.sum("quantity"))
+        .pivot("year").agg(F.sum("quantity"))
     )
+    years = year_columns(wide)
     return wide.select(
         "Office", "`Office (Code)`", "Origin", *[text(F.col(f"`{y}`")).alias(str(y)) for y in years]
     )
@@ -148,10 +148,9 @@ def explode_awards(spark, sf_dir):
 
 
 def unpivot_years_query(spark, sf_dir):
-    years = list(range(1995, 2002))
     wide = (
         table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-        .groupBy("o_custkey").pivot("year", years)
+        .groupBy("o_custkey").pivot("year")
         .agg(F.sum(given.cents("o_totalprice")) / 100.0)
     )
     return unpivot_years(wide, ["o_custkey"], "value").filter(F.col("value").isNotNull())
@@ -401,7 +400,7 @@ def fact_innovation(spark, sf_dir):
     models = {m: silver.indicator_model(sources[d], country) for m, d in contract.INDICATOR_MODEL_DATASET.items()}
     models |= {
         "COUNTRY": country,
-        "YEAR": year_range(spark, given.FIRST_YEAR, given.LAST_YEAR),
+        "YEAR": given.years(spark, sf_dir),
         "NOBEL_LAUREATES": silver.laureates_model(laureates, country),
         "PATENTS": silver.patents_model(patents, country),
     }
