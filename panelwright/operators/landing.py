@@ -7,6 +7,7 @@ from panelwright.operators.sinks import APPEND, OVERWRITE_PARTITIONS, stored_tab
 
 # Folders of the landing area, outermost first; a batch is one innermost folder.
 BATCH = ["source", "ingest_date", "dataset", "config_hash"]
+from panelwright.session import stored
 
 
 def as_batch(
@@ -44,8 +45,10 @@ def land(batch: DataFrame, path: str, ledger: str, fmt: str = "json") -> None:
 
     Landing the same batch again replaces its folder, so a run that died between the
     two steps can simply be repeated. The ledger is a small table of its own, so
-    that looking up what is there never scans the landed records.
+    that looking up what is there never scans the landed records. The batch is evaluated
+    once, so the ledger lists exactly what was landed, even from a source that changes.
     """
+    batch = stored(batch, "landing")
     write_table(batch, path, fmt, OVERWRITE_PARTITIONS, BATCH)
     write_table(batch.select(*BATCH).distinct(), ledger, mode=APPEND)
 

@@ -2,16 +2,21 @@
 
 import json
 import time
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright import contract
+from panelwright.session import stored
 
 APPEND, OVERWRITE, MERGE, OVERWRITE_PARTITIONS = "append", "overwrite", "merge", "overwrite_partitions"
 
 
+MOST_FOLDERS = 500  # that a merge names in its filter
+
+
 def table_path(base: str, layer: str, model: str) -> str:
     return f"{base.rstrip('/')}/{layer}/{model}"
 
@@ -23,13 +28,14 @@ def write_table(
     mode: str = OVERWRITE,
     partition_cols: list[str] | None = None,
     options: dict | None = None,
-    rebalance: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Write by location. ``overwrite_partitions`` replaces only the partitions in ``df``.
 
     A MERGE is a plan, not a file mode: see ``keyed_merge`` and ``merge_partitions``.
-    ``rebalance`` exchanges rows by partition first, so that not every task writes a
-    small file into every folder; Spark splits a folder that is too big for one task.
+    With partition columns ``rebalance`` exchanges rows by partition first, so that not
+    every task writes a small file into every folder; Spark splits a folder that is too
+    big for one task.
     """
     if mode not in (APPEND, OVERWRITE, OVERWRITE_PARTITIONS):
         raise ValueError(f"not a write mode of files: {mode}")
@@ -63,49 +69,72 @@ def latest_per_key(batch: DataFrame, keys: list[str], order: str) -> DataFrame:
     return picked.select(*quoted, "_row.*").select(*[f"`{c}`" for c in batch.columns])
 
 
+def _equal(left: DataFrame, right: DataFrame, columns: list[str]):
+    """Rows that agree in the columns; NULL agrees with NULL."""
+    return reduce(lambda x, y: x & y, [left[f"`{c}`"].eqNullSafe(right[f"`{c}`"]) for c in columns])
+
+
 def keyed_merge(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Batch rows replace current rows of the same key; other current rows stay.
 
-    Applying a batch twice changes nothing. Keys must be non-NULL and unique in the
-    batch (``latest_per_key``). The result goes to a fresh path: a file table must
-    not be overwritten while it is read.
+    Applying a batch twice changes nothing. A NULL in a key is a value like any other.
+    Keys must be unique in the batch (``latest_per_key``). The result goes to a fresh path:
+    a file table must not be overwritten while it is read.
     """
-    quoted = [f"`{k}`" for k in keys]
-    kept = current.join(batch.select(*quoted), keys, "left_anti")
+    present = batch.select(*[F.col(f"`{k}`").alias(k) for k in keys])
+    kept = current.join(present, _equal(current, present, keys), "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
 def merge_partitions(
-    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_cols: list[str]
+    spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_cols: list[str],
+    order: str | None = None,
 ) -> None:
     """Merge into a stored partitioned table, rewriting only the partitions the batch touches.
 
-    The partition columns must be part of the key, so that no row changes
-    partition. Their touched values (folders, which the driver lists in any case)
-    become a literal filter, so that the scan skips all other folders. A table that
-    is not there yet starts with the batch.
+    The partition columns must be part of the key, so that no row changes partition; NULL
+    is a partition of its own. The touched combinations (folders, which the driver lists in
+    any case) become a literal filter, so that the scan skips all other folders; beyond
+    ``MOST_FOLDERS`` of them they are joined. A table that is not there yet starts with the
+    batch. Without ``order`` the batch wins over what is stored; with it the row with the
+    highest ``order`` wins, whichever came first.
+
+    The batch is evaluated once, and the new content of the partitions is complete in the
+    shared folder before the old one goes. A plain file table has no transactions, though: a
+    reader during the exchange of folders, or a driver lost in it, sees some of them
+    missing until the merge is repeated from the stored content. Table formats with
+    row-level updates have ``merge_into``.
     """
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
-    merged = batch
+    batch = stored(batch, "merge-batch")
     current = stored_table(spark, path)
-    if current is not None:
-        for column in partition_cols:
-            touched = [row[0] for row in batch.select(f"`{column}`").distinct().collect()]
-            current = current.filter(F.col(f"`{column}`").isin(touched))
-        merged = keyed_merge(current, batch, keys)
-    write_table(merged, path, mode=OVERWRITE_PARTITIONS, partition_cols=partition_cols)
+    if current is None:
+        merged = batch if order is None else latest_per_key(batch, keys, order)
+    else:
+        touched = batch.select(*[F.col(f"`{c}`").alias(c) for c in partition_cols]).distinct()
+        folders = touched.limit(MOST_FOLDERS + 1).collect()
+        if len(folders) <= MOST_FOLDERS:
+            same = [
+                reduce(lambda x, y: x & y, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in partition_cols])
+                for r in folders
+            ]
+            current = current.filter(reduce(lambda x, y: x | y, same, F.lit(False)))
+        else:
+            current = current.join(touched, _equal(current, touched, partition_cols), "left_semi")
+        if order is None:
+            merged = keyed_merge(current, batch, keys)
+        else:
+            merged = latest_per_key(current.unionByName(batch, allowMissingColumns=True), keys, order)
+    write_table(stored(merged, "merged"), path, mode=OVERWRITE_PARTITIONS, partition_cols=partition_cols)
 
 
 def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None if it does not exist or has no files yet."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
-        return None
+    """The Parquet table at ``path``, or None if it does not exist or has no files yet."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+        if error.getCondition() in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
             return None
         raise
 
@@ -133,18 +162,18 @@ def persist_model(
 ) -> dict:
     """Write a model and return its result record; an empty model is skipped, not written.
 
-    The row count is observed during the write, so the model is not computed again
-    to be counted.
+    The row count is observed during the write, so the model is computed once. The rows
+    go to the shared folder first: what is stored stays if the model turns out to be empty.
     """
     started = time.monotonic()
     record = {
         "model": name, "status": contract.SKIPPED, "output_path": "N/A", "correlation_id": run_id,
         "operation_type": "N/A", "record_count": 0, "error_details": None, "duration_in_ms": 0,
     }
-    if not df.isEmpty():
-        rows = Observation(f"rows of {name}")
-        counted = df.observe(rows, F.count(F.lit(1)).alias("n"))
-        write_table(counted, path, fmt, OVERWRITE, partition_cols, options, rebalance=True)
+    rows = Observation(f"rows of {name}")
+    made = stored(df.observe(rows, F.count(F.lit(1)).alias("n")), "model")
+    if rows.get["n"]:
+        write_table(made, path, fmt, OVERWRITE, partition_cols, options)
         record.update(
             status=contract.COMPLETED, output_path=path, operation_type="OVERWRITE",
             record_count=rows.get["n"],

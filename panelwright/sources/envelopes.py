@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 
 def _records_at(pages: DataFrame, page: str, json_path: str, schema: str, keep: tuple) -> DataFrame:
-    records = F.from_json(F.get_json_object(page, json_path), f"ARRAY<STRUCT<{schema}>>")
+    found = F.get_json_object(page, json_path)
+    listed = F.when(found.startswith("["), found)  # an object in place of the list gives no rows
+    records = F.from_json(listed, f"ARRAY<STRUCT<{schema}>>")
     return pages.select(*keep, F.explode(records).alias("record")).select(*keep, "record.*")
 
 

@@ -39,18 +39,29 @@ def read_json_lines(spark: SparkSession, paths: Paths, schema: Schema | None = N
     return reader.json(paths)
 
 
-def read_landed(spark: SparkSession, paths: list[str], schema: Schema) -> DataFrame:
-    """Landed records: ``.json`` files hold one array each, folders hold JSON lines."""
-    arrays = [p for p in paths if p.lower().endswith(".json")]
-    folders = [p for p in paths if p not in arrays]
+def read_landed(spark: SparkSession, paths: Paths, schema: Schema) -> DataFrame:
+    """JSON records in files or folders of either layout, whatever they are called.
+
+    A path whose text begins with ``[`` holds one array per file, any other one an object per
+    line. The first line that is not blank decides (one short look per path, and a folder has
+    one layout); names and suffixes do not.
+    """
+    paths = [paths] if isinstance(paths, str) else paths
+    arrays = [p for p in paths if _first_line(spark, p).startswith("[")]
+    lines = [p for p in paths if p not in arrays]
     scans = []
     if arrays:
         scans.append(read_json_array(spark, arrays, schema))
-    if folders:
-        scans.append(read_json_lines(spark, folders, schema))
+    if lines:
+        scans.append(read_json_lines(spark, lines, schema))
     return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    row = spark.read.text(path).select(F.ltrim("value").alias("line")).where("line <> ''").first()
+    return "" if row is None else row["line"].lstrip("\ufeff")
+
+
 def read_table(
     spark: SparkSession, paths: Paths, fmt: str = "parquet", merge_schema: bool = False
 ) -> DataFrame:
@@ -75,7 +86,7 @@ def read_by_extension(spark: SparkSession, path: str, schema: Schema | None = No
     if format_of(path) == "csv":
         return read_csv(spark, path, schema)
     if schema is not None:
-        return read_json_array(spark, path, schema)
+        return read_landed(spark, path, schema)
     return read_json_lines(spark, path)
 
 

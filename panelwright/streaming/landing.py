@@ -2,7 +2,8 @@
 
 The stream's checkpoint remembers which files were done, which replaces chaining
 runs by events. A batch that is replayed after a failure gives the same table: the
-append sink replaces the batch's own folder, the upsert sink is a keyed merge.
+append sink replaces the batch's own folder, the upsert sink keeps the newest row of each
+key, so that neither the size nor the sequence of batches matters.
 """
 
 from collections.abc import Callable
@@ -63,11 +64,13 @@ def upsert_sink(
     partition_cols: list[str],
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
 ):
-    """Each batch is merged into the partitions it touches, with its newest row per key."""
+    """Each batch is merged into the partitions it touches; the newest row of a key stays.
+
+    A row that comes late does not replace a newer one that is stored; of rows with the same
+    ``order`` the one with the largest other values stays. ``order`` must be a column of the
+    table.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(prepare(batch), keys, order).persist()  # the merge reads it three times
-        try:
-            merge_partitions(batch.sparkSession, path, newest, keys, partition_cols)
-        finally:
-            newest.unpersist()
+        newest = latest_per_key(prepare(batch), keys, order)
+        merge_partitions(batch.sparkSession, path, newest, keys, partition_cols, order)
     return write

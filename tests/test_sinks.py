@@ -135,3 +135,56 @@ def test_upsert_sink_keeps_the_newest_row_of_each_batch(spark, tmp_path):
     for _ in range(2):
         sink(frame(spark, [(1, 2000, "d"), (3, 2001, "e")]), 1)
     assert rows(read_table(spark, path).select("k", "year", "v")) == [(1, 2000, "d"), (2, 2000, "c"), (3, 2001, "e")]
+
+
+def test_merge_keeps_rows_of_a_null_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.merge_partitions(spark, path, frame(spark, [(1, None, "a"), (2, 2000, "b")]), ["k", "year"], ["year"])
+    sinks.merge_partitions(spark, path, frame(spark, [(3, None, "c"), (1, None, "A")]), ["k", "year"], ["year"])
+    got = sorted(map(repr, map(tuple, read_table(spark, path).select("k", "year", "v").collect())))
+    assert got == sorted(map(repr, [(1, None, "A"), (2, 2000, "b"), (3, None, "c")]))
+
+
+@pytest.mark.parametrize("most", [500, 0])
+def test_merge_reads_touched_combinations_only(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(sinks, "MOST_FOLDERS", most)
+    path = tmp_path / "t"
+    start = spark.createDataFrame([(k, k % 2, k % 3) for k in range(12)], "k int, a int, b int")
+    sinks.merge_partitions(spark, str(path), start, ["k", "a", "b"], ["a", "b"])
+    before = {f: f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+    batch = spark.createDataFrame([(100, 0, 0), (101, 1, 2)], "k int, a int, b int")
+    sinks.merge_partitions(spark, str(path), batch, ["k", "a", "b"], ["a", "b"])
+    kept = {f for f in path.rglob("*.parquet") if before.get(f) == f.stat().st_mtime_ns}
+    assert {f.parent.relative_to(path).as_posix() for f in kept} == {"a=0/b=1", "a=0/b=2", "a=1/b=0", "a=1/b=1"}
+    assert read_table(spark, str(path)).count() == 14
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_late_rows_do_not_replace_newer_ones(spark, tmp_path, files_per_batch):
+    folder, path = str(tmp_path / "in"), str(tmp_path / "out")
+    for k, order in enumerate((9, 3, 5)):
+        rows_of = [(1, "x", order), (2 + k, "x", order)]
+        spark.createDataFrame(rows_of, "k int, p string, n int").coalesce(1).write.mode("append").parquet(folder)
+    source = stream.new_files(spark, folder, "k int, p string, n int", "parquet", files_per_batch)
+    stream.drain(source, str(tmp_path / "c"), stream.upsert_sink(path, ["k", "p"], "n", ["p"]))
+    assert rows(read_table(spark, path).select("k", "p", "n")) == [(1, "x", 9), (2, "x", 9), (3, "x", 3), (4, "x", 5)]
+
+
+def test_a_model_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for frame_ in batches:
+            seen.add(len(frame_))
+            yield frame_
+
+    df = frame(spark, [(k, 2000, "a") for k in range(50)]).mapInPandas(count, "k int, year int, v string")
+    record = sinks.persist_model(df, "M", str(tmp_path / "m"), "r")
+    assert record["record_count"] == 50 and seen.value == 50
+
+
+def test_files_per_folder_do_not_follow_the_tasks(spark, tmp_path):
+    for tasks in (2, 16):
+        df = spark.range(400).selectExpr("int(id) as k", "int(id % 3) as p").repartition(tasks)
+        sinks.write_table(df, str(tmp_path / str(tasks)), partition_cols=["p"])
+        assert len(list((tmp_path / str(tasks)).rglob("*.parquet"))) == 3

@@ -121,3 +121,23 @@ def test_routing_prefers_manual_paths_and_keeps_all_landed_ones(spark):
     got = summaries.route_sources(required, paths([("a", "m")]), paths([("a", "l"), ("b", "l1"), ("b", "l2")]), ["dataset_name"])
     assert sorted(map(tuple, got.collect()), key=str) == [
         ("a", "m", "manual"), ("b", "l1", "landed"), ("b", "l2", "landed"), ("c", None, None)]
+
+
+def test_json_lines_in_a_folder_with_a_json_suffix(spark, tmp_path):
+    path = str(tmp_path / "x.json")
+    spark.range(10).selectExpr("string(id) as a").repartition(2).write.json(path)
+    assert files.read_landed(spark, [path], "a STRING").count() == 10
+    assert files.read_by_extension(spark, path, "a STRING").count() == 10
+
+
+def test_arrays_without_a_suffix(spark, tmp_path):
+    (tmp_path / "pages").mkdir()
+    for k in range(2):
+        (tmp_path / "pages" / f"p{k}").write_text('\n [\n {"a": "1"},\n {"a": "2"}\n]')
+    assert files.read_landed(spark, [str(tmp_path / "pages")], "a STRING").count() == 4
+
+
+def test_an_object_in_place_of_the_list_gives_no_rows(spark):
+    pages = spark.createDataFrame([('[{"p": 1}, {"a": "x"}]', '{"d": {"a": "x"}}'), ('[{}, [{"a": "y"}]]', '{"d": [{"a": "y"}]}')], "m string, k string")
+    assert [r["a"] for r in envelopes.records_of_meta_pages(pages, "m", "a STRING").collect()] == ["y"]
+    assert [r["a"] for r in envelopes.records_of_keyed_pages(pages, "k", "d", "a STRING").collect()] == ["y"]
