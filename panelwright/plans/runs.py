@@ -6,7 +6,10 @@ recorded under its name and the others are still stored.
 
 import datetime
 import time
+import warnings
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ from panelwright.operators.quality import require_inputs, require_rows
 from panelwright.operators.sinks import APPEND, persist_model, table_path, write_summary, write_table
 from panelwright.plans import gold, silver
 from panelwright.sources.envelopes import raw_records
-from panelwright.sources.files import read_by_extension, read_landed, read_table
+from panelwright.sources.files import read_by_extension, read_csv, read_landed, read_table
 from panelwright.sources.schemas import BY_DATASET
 from panelwright.sources.summaries import is_completed, result_rows, valid_output_paths
 
@@ -101,12 +104,25 @@ def leave_summary(
     return summary
 
 
+def readable(paths: list[str], read: Callable[[list[str]], DataFrame]) -> DataFrame | None:
+    """One scan of the paths that can be opened; None if there are none."""
+    kept = []
+    for path in paths:  # a handful
+        try:
+            read([path])
+            kept.append(path)
+        except AnalysisException as error:
+            warnings.warn(f"left out {path}: {error.getCondition()}", stacklevel=2)
+    return read(kept) if kept else None
+
+
 def silver_sources(
     spark: SparkSession, manifest: dict, landing_summary: DataFrame, root: str
 ) -> dict[str, DataFrame | None]:
     """Flattened frame per dataset; manual paths win over landed ones, absent ones are None.
 
-    All landed paths of a dataset are one scan.
+    All landed paths of a dataset are one scan. A path that cannot be read is left out with a
+    warning, and a dataset of which nothing can be read counts as absent.
     """
     manual = {p["dataset_name"]: located(p["file_path"], root) for p in manifest["manual_data_paths"]}
     landed: dict[str, list[str]] = {}
@@ -118,8 +134,10 @@ def silver_sources(
 
     def raw(name: str) -> DataFrame | None:
         if name in manual:
-            return read_by_extension(spark, manual[name])
-        return read_landed(spark, landed[name], BY_DATASET[name]) if name in landed else None
+            return readable([manual[name]], lambda paths: read_by_extension(spark, paths[0]))
+        if name == "patents":
+            return readable(landed.get(name, []), lambda paths: read_csv(spark, paths))
+        return readable(landed.get(name, []), lambda paths: read_landed(spark, paths, BY_DATASET[name]))
 
     flatten = {"laureates": flatten_laureates, "patents": flatten_patents}
     frames = {}

@@ -228,3 +228,20 @@ def test_landing_failures_and_empty_sources(spark, tmp_path):
     assert got["status"] == "FAILED"
     assert status["laureates"] == ("COMPLETED", []) and status["rd"] == status["pkb"] == ("FAILED", [])
     assert runs.landing.read_ledger(spark, str(tmp_path / "bronze" / "ledger")).count() == 0
+
+
+def test_landed_patents_and_absent_paths(spark, tmp_path):
+    (tmp_path / "patents.csv").write_text("Office,Office (Code),Origin,2000\nPoland,PL,Poland,7\n")
+    results = [
+        {"status": "COMPLETED", "domain_source": s, "dataset_name": d, "output_paths": [str(tmp_path / p) for p in paths]}
+        for s, d, paths in (("PATENTS", "patents", ["absent.csv", "patents.csv"]), ("WORLDBANK", "rd", ["absent"]))
+    ]
+    kind = "status: STRING, domain_source: STRING, dataset_name: STRING, output_paths: ARRAY<STRING>"
+    summary = spark.createDataFrame(
+        [("COMPLETED", "b", "bronze", results)],
+        f"status STRING, correlation_id STRING, etl_layer STRING, results ARRAY<STRUCT<{kind}>>",
+    )
+    with pytest.warns(UserWarning, match="left out"):
+        sources = runs.silver_sources(spark, {"manual_data_paths": []}, summary, str(tmp_path))
+    assert sources["rd"] is None and sources["population"] is None
+    assert [(r["year"], r["patents_count"]) for r in sources["patents"].collect()] == [(2000, 7)]
