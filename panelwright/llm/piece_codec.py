@@ -28,7 +28,9 @@ from tokenizers import Tokenizer, decoders, models, normalizers
 from panelwright.llm.texts import add_columns
 
 MARKER = "▁"
-CACHED_WORDS = 150_000
+CACHED_WORDS = 80_000
+CALL_WORDS = 10_000  # words in one call of the tokenizer, whose results are large
+SLICE_BYTES = 2 << 20  # of text that a task codes at once
 THREADS = 2
 NORMAL, UNKNOWN, CONTROL, USER, BYTE = 1, 2, 3, 4, 6  # piece types of the format
 UNIGRAM, BPE = 1, 2  # model types of the format
@@ -92,8 +94,10 @@ class Model:
         if len(known) > CACHED_WORDS:
             known.clear()
         new = list({w for ws in words for w in ws if w not in known})
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = _packed(found.ids)
+        for at in range(0, len(new), CALL_WORDS):
+            call = new[at: at + CALL_WORDS]
+            for word, found in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False)):
+                known[word] = _packed(found.ids)
         return [b"".join(map(known.__getitem__, ws)) for ws in words]
 
     def decode(self, ids: list[bytes]) -> list[str]:
@@ -103,8 +107,10 @@ class Model:
         if len(known) > CACHED_WORDS:
             known.clear()
         new = list({p for ps in parts for p in ps if p not in known})
-        lists = [np.frombuffer(p, dtype="<i4").tolist() for p in new]
-        known.update(zip(new, self.tokenizer.decode_batch(lists, skip_special_tokens=False)))
+        for at in range(0, len(new), CALL_WORDS):
+            call = new[at: at + CALL_WORDS]
+            lists = [np.frombuffer(p, dtype="<i4").tolist() for p in call]
+            known.update(zip(call, self.tokenizer.decode_batch(lists, skip_special_tokens=False)))
         texts = ["".join(map(known.__getitem__, ps)) for ps in parts]
         return [t[1:] if self.dummy_prefix and t.startswith(" ") else t for t in texts]
 
@@ -196,7 +202,7 @@ def encoded(
 
         return step
 
-    return add_columns(df, text_col, start, f"`{ids_col}` array<int>, `{same_col}` boolean")
+    return add_columns(df, text_col, start, f"`{ids_col}` array<int>, `{same_col}` boolean", SLICE_BYTES)
 
 
 def decoded(df: DataFrame, model: bytes, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

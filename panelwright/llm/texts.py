@@ -54,12 +54,12 @@ def typed(df: DataFrame, id_col: str, fields: str) -> StructType:
     return StructType(kept + StructType.fromDDL(fields).fields)
 
 
-def slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of at most SLICE_BYTES of the text column, a row at least."""
+def slices(batch: pa.RecordBatch, at: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most so many bytes of the text column, a row at least."""
     lengths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
     first, size = 0, 0
     for row, length in enumerate(lengths):
-        if size and size + length > SLICE_BYTES:
+        if size and size + length > most:
             yield batch.slice(first, row - first)
             first, size = row, 0
         size += length
@@ -94,25 +94,29 @@ def map_texts(
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def add_columns(df: DataFrame, text_col: str, start: Callable[[], Callable], fields: str) -> DataFrame:
+def add_columns(
+    df: DataFrame, text_col: str, start: Callable[[], Callable], fields: str, slice_bytes: int = SLICE_BYTES
+) -> DataFrame:
     """All columns of the frame and those that ``start()(texts)`` makes, without an exchange.
 
     The frame's own columns pass through as Arrow arrays. ``fields`` is the DDL of the
-    new columns; their names must not be among the frame's.
+    new columns, which replace columns of the same names; the text column stays.
     """
     reachable(df.sparkSession)
+    made = StructType.fromDDL(fields).fields
+    df = df.drop(*[f.name for f in made if f.name in df.columns and f.name != text_col])
     names = df.columns
     at = names.index(text_col)
-    schema = StructType(df.schema.fields + StructType.fromDDL(fields).fields)
+    schema = StructType(df.schema.fields + made)
     arrow = to_arrow_schema(schema)
     new = list(arrow)[len(names):]
 
     def run(batches):
         step = start()
         for batch in batches:
-            for part in slices(batch, at):
-                made = step(part.column(at).cast(pa.binary()).to_pylist())
-                columns = [*part.columns, *(pa.array(m, f.type) for m, f in zip(made, new))]
+            for part in slices(batch, at, slice_bytes):
+                values = step(part.column(at).cast(pa.binary()).to_pylist())
+                columns = [*part.columns, *(pa.array(v, f.type) for v, f in zip(values, new))]
                 yield pa.RecordBatch.from_arrays(
                     [c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow
                 )
