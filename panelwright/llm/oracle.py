@@ -39,4 +39,96 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
-LLM_ORACLE = {"op3_quality_rules": QUALITY_RULES}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FOLDED = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LINE_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+),
+l AS (
+  SELECT doc_id, i, len(regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)
+),
+c AS (
+  SELECT doc_id, i, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM l
+),
+spans AS (
+  SELECT a.doc_id, a.i AS first, min(b.i) AS last
+  FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - (a.upto - a.n) >= 50 GROUP BY 1, 2
+  UNION
+  SELECT b.doc_id, max(a.i), b.i
+  FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - (a.upto - a.n) >= 50 GROUP BY b.doc_id, b.i
+),
+w AS (
+  SELECT doc_id, first, last, array_to_string(lines[first:last], chr(10)) AS run FROM spans JOIN d USING (doc_id)
+),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS i FROM (
+    SELECT *, min(struct_pack(a := doc_id, b := first)) OVER (PARTITION BY run) AS least FROM w
+  ) WHERE struct_pack(a := doc_id, b := first) > least
+),
+g AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY 1)
+SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  CASE WHEN gone IS NULL THEN text
+       ELSE array_to_string([lines[k] FOR k IN range(1, len(lines) + 1) IF NOT list_contains(gone, k)], chr(10))
+  END AS text
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i+4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+    FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+  ) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 75 * (na.n + nb.n - common)
+),
+reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+least AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+  doc_id = least(doc_id, coalesce(m, doc_id)) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+DECONTAMINATION = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_FOLDED} AS w FROM documents),
+b AS (SELECT item_id, w, least(13, len(w)) AS n FROM (SELECT item_id, {_FOLDED} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i+n-1], ' ') AS key
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM b)
+),
+places AS (
+  SELECT row, n, i, array_to_string(w[i:i+n-1], ' ') AS key
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM b) WHERE len(w) >= n)
+),
+found AS (SELECT row, item_id, n, i FROM places JOIN win USING (n, key)),
+hits AS (SELECT row, count(DISTINCT k) AS n FROM (SELECT row, unnest(range(i, i + n)) AS k FROM found) GROUP BY 1),
+items AS (
+  SELECT row, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT row, item_id::VARCHAR AS id FROM found) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(hits.n, 0) > 0 AND 20 * coalesce(hits.n, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hits USING (row) LEFT JOIN items USING (row)
+"""
+
+LLM_ORACLE = {
+    "op3_quality_rules": QUALITY_RULES,
+    "op5_line_dedup": LINE_DEDUP,
+    "op8_near_duplicates": NEAR_DUPLICATES,
+    "op10_decontamination": DECONTAMINATION,
+}
