@@ -446,3 +446,12 @@ ORACLE = {
         SELECT event_type, user_id, max(event_id) AS event_id, arg_max(value, event_id) AS value
         FROM events GROUP BY 1, 2""",
 }
+
+# The same records through other file layouts.
+ORACLE["array_files"] = ORACLE["inferred_lines"] = ORACLE["flatten_indicator"]
+ORACLE["laureate_lines"] = ORACLE["explode_awards"]
+ORACLE["silver_inputs"] = f"""
+    SELECT 'population' AS dataset, 'present' AS status, count(*) AS n FROM ({ORACLE["flatten_indicator"]})
+    UNION ALL SELECT 'laureates', 'present', count(*) FROM ({ORACLE["explode_awards"]})
+    UNION ALL SELECT 'patents', 'present', count(*) FROM ({ORACLE["flatten_patents"]})
+    UNION ALL SELECT 'rd', 'missing', 0"""

@@ -23,10 +23,10 @@ from panelwright.operators.flatten import (
 from panelwright.operators.panel import panel_by_joins, panel_by_union
 from panelwright.operators.reshape import scaffold, unpivot_years, year_columns, year_range_of
 from panelwright.plans import given_tables as given
-from panelwright.plans import gold, silver
+from panelwright.plans import gold, runs, silver
 from panelwright.plans.given_tables import KEYS, table
 from panelwright.session import fresh_path, stored
-from panelwright.sources import envelopes, files, summaries
+from panelwright.sources import envelopes, files, schemas, summaries
 from panelwright.streaming import landing as stream
 
 ISO = contract.ISO
@@ -59,12 +59,13 @@ def text(column: Column) -> Column:
 # ---- raw shapes made from the given tables
 
 
-def raw_indicators(spark, sf_dir) -> DataFrame:
+def raw_indicators(spark, sf_dir, keep: tuple = ()) -> DataFrame:
     """Events in the nested shape of indicator records, with missing, empty and bad fields."""
     k = F.get_json_object("props", "$.k").cast("int")
     year = F.when(k % 10 == 0, F.concat(text(k + 2000), F.lit("Q1"))).otherwise(text(k + 1900))
     code = F.when(F.col("event_type") == "signup", "").when(F.col("event_type") != "error", text(F.col("user_id")))
     return table(spark, sf_dir, "events").select(
+        *keep,
         F.struct(F.lit("i").alias("id"), F.col("event_type").alias("value")).alias("indicator"),
         F.struct(text(F.col("user_id")).alias("id"), F.concat(F.lit("User-"), letters(text(F.col("user_id")))).alias("value")).alias("country"),
         code.alias("countryiso3code"),
@@ -143,6 +144,60 @@ def project_by_dataset(spark, sf_dir):
     return rows.withColumnRenamed(ISO, "iso")
 
 
+def array_files(spark, sf_dir):
+    """Indicator pages as files with one array each, read with the shared schema."""
+    path = fresh_path(spark, "arrays")
+    records = raw_indicators(spark, sf_dir, (F.floor(F.col("event_id") / 500).alias("page"),))
+    page = F.to_json(F.collect_list(F.struct(*[c for c in records.columns if c != "page"])))
+    pages = records.groupBy("page").agg(page.alias("value"))
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return flatten_indicator(files.read_landed(spark, [path], schemas.INDICATOR), "population").withColumnRenamed(ISO, "iso")
+
+
+def inferred_lines(spark, sf_dir):
+    """Indicator records as JSON lines, looked up by name and read by extension without a schema."""
+    path = fresh_path(spark, "lines") + ".json"
+    raw_indicators(spark, sf_dir).write.json(path)
+    raw = files.read_named(spark, {"population": path}, "population")
+    return flatten_indicator(raw, "population").withColumnRenamed(ISO, "iso")
+
+
+def laureate_lines(spark, sf_dir):
+    """Laureates as JSON lines, read with the full laureate schema."""
+    path = fresh_path(spark, "laureates")
+    raw_laureates(spark, sf_dir).write.json(path)
+    return flatten_laureates(files.read_landed(spark, [path], schemas.LAUREATE))
+
+
+def silver_inputs(spark, sf_dir):
+    """What a conformed run finds of each dataset: by hand, landed, or nothing."""
+    root = fresh_path(spark, "lake")
+    raw_patents(spark, sf_dir).write.option("header", True).csv(f"{root}/manual/patents.csv")
+    raw_indicators(spark, sf_dir).write.json(f"{root}/landed/population")
+    raw_laureates(spark, sf_dir).write.json(f"{root}/landed/laureates.json")
+    landed = [
+        ("COMPLETED", "WORLDBANK", "population", [f"{root}/landed/population"]),
+        ("COMPLETED", "NOBELPRIZE", "laureates", [f"{root}/landed/laureates.json"]),
+        ("FAILED", "WORLDBANK", "rd", [f"{root}/landed/population"]),
+    ]
+    result = "status: STRING, domain_source: STRING, dataset_name: STRING, output_paths: ARRAY<STRING>"
+    summary = spark.createDataFrame(
+        [("COMPLETED", "run-1", "bronze", landed)],
+        f"status STRING, correlation_id STRING, etl_layer STRING, results ARRAY<STRUCT<{result}>>",
+    )
+    manual = [{"domain_source": "PATENTS", "dataset_name": "patents", "file_path": "/manual/patents.csv"}]
+    sources = runs.silver_sources(spark, {"manual_data_paths": manual}, summary, root)
+    found = None
+    for name in ("population", "laureates", "patents", "rd"):
+        try:
+            rows, status = quality.require_rows(sources[name], name), "present"
+        except ValueError:
+            rows, status = spark.range(0), "missing"
+        counted = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("dataset"), F.lit(status).alias("status"), "n")
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
 def explode_awards(spark, sf_dir):
     return flatten_laureates(raw_laureates(spark, sf_dir))
 
@@ -692,6 +747,10 @@ QUERIES = {
     "flatten_indicator": flatten_indicator_query,
     "project_by_dataset": project_by_dataset,
     "explode_awards": explode_awards,
+    "array_files": array_files,
+    "inferred_lines": inferred_lines,
+    "laureate_lines": laureate_lines,
+    "silver_inputs": silver_inputs,
     "unpivot_years": unpivot_years_query,
     "safe_cast_positive": safe_cast_positive,
     "resident_split": resident_split,
