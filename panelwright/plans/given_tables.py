@@ -74,10 +74,17 @@ def orders_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", cents("o_totalprice"))).alias("urgent"),
             F.count("*").alias("orders"),
             F.count_if(F.col("o_orderstatus") == "F").alias("finished"),
+            F.count_if(F.col("o_totalprice") > NATION_PRIZE).alias("nation_prizes"),
+            F.count_if(F.col("o_totalprice") > CUSTOMER_PRIZE).alias("customer_prizes"),
         )
     )
 
 
+def _prizes(count: Column) -> Column:
+    """Orders are unique, so counting them needs no distinct; none at all is no observation."""
+    return F.when(count > 0, count).alias("nobel_laureates_count")
+
+
 def nation_order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -91,6 +98,7 @@ def nation_order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("urgent").alias("urgent"),
             F.sum("orders").alias("orders"),
             F.sum("finished").alias("finished"),
+            F.sum("nation_prizes").alias("prizes"),
         )
     )
     share = F.lit(100.0) * F.col("finished") / F.col("orders")
@@ -100,6 +108,7 @@ def nation_order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") / 100.0).alias("gdp"),
         (F.col("urgent") / 100.0).alias("rd_expenditure"),
         F.when(F.col("n_regionkey") != 0, share).alias("graduate_unemployment_rate"),
+        _prizes(F.col("prizes")),
     )
 
 
@@ -168,9 +177,8 @@ def nation_prizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return [
-        (nation_order_measures(spark, sf_dir), ORDER_MEASURES),
+        (nation_order_measures(spark, sf_dir), ORDER_MEASURES + PRIZE_MEASURES),
         (nation_line_measures(spark, sf_dir), LINE_MEASURES),
-        (nation_prizes(spark, sf_dir), PRIZE_MEASURES),
     ]
 
 
@@ -187,6 +195,7 @@ def customer_order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") / 100.0).alias("gdp"),
         (F.col("urgent") / 100.0).alias("rd_expenditure"),
         (F.lit(100.0) * F.col("finished") / F.col("orders")).alias("graduate_unemployment_rate"),
+        _prizes(F.col("customer_prizes")),
     )
 
 
@@ -210,20 +219,10 @@ def customer_line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_prizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_totalprice") > CUSTOMER_PRIZE)
-        .groupBy(F.col("o_custkey").alias("entity"), F.year("o_orderdate").alias("year"))
-        .agg(F.count_distinct("o_orderkey").alias("nobel_laureates_count"))
-    )
-
-
 def customer_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return [
-        (customer_order_measures(spark, sf_dir), ORDER_MEASURES),
+        (customer_order_measures(spark, sf_dir), ORDER_MEASURES + PRIZE_MEASURES),
         (customer_line_measures(spark, sf_dir), LINE_MEASURES),
-        (customer_prizes(spark, sf_dir), PRIZE_MEASURES),
     ]
 
 
