@@ -25,6 +25,8 @@ id and a text are alike. Other columns are kept by ``drop_near_duplicates``; nam
 begin with ``__`` are reserved.
 """
 
+import math
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
@@ -38,9 +40,10 @@ THRESHOLD = 75  # per cent
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 65534  # of SetSketch: b, a and q
-UNLIKELY = 25.0  # log-likelihood lost at the threshold that rules a pair out
+UNLIKELY = 12.5  # log-likelihood lost at the threshold that rules a pair out
 CACHED_WORDS = 300_000
 CHUNK = 2048
+PAIRS = 16  # per member of an open bucket and round, on average
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -134,15 +137,17 @@ def sketches(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _likely(pairs: DataFrame) -> DataFrame:
     """(a, b) of the pairs whose registers do not rule the threshold out."""
 
-    def run(batches):
-        for frame in batches:
-            if len(frame):
-                x = np.stack([np.frombuffer(r, dtype="<u2") for r in frame["ra"]])
-                y = np.stack([np.frombuffer(r, dtype="<u2") for r in frame["rb"]])
-                na, nb = frame["na"].to_numpy(float), frame["nb"].to_numpy(float)
-                yield frame.loc[likelihood_loss(x, y, na, nb, THRESHOLD / 100) <= UNLIKELY, ["a", "b"]]
+    def start():
+        def step(a, left, b, right, n_a, n_b):
+            x = np.frombuffer(b"".join(left), dtype="<u2").reshape(len(left), -1)
+            y = np.frombuffer(b"".join(right), dtype="<u2").reshape(len(right), -1)
+            loss = likelihood_loss(x, y, np.array(n_a, float), np.array(n_b, float), THRESHOLD / 100)
+            close = np.flatnonzero(loss <= UNLIKELY)
+            return [[a[i] for i in close], [b[i] for i in close]]
 
-    return pairs.mapInPandas(run, "a long, b long")
+        return step
+
+    return map_texts(pairs, ["a", "ra", "b", "rb", "na", "nb"], start, typed(pairs, "a", "b long"))
 
 
 def _linked(pairs: DataFrame) -> DataFrame:
@@ -170,33 +175,63 @@ def _linked(pairs: DataFrame) -> DataFrame:
     return map_texts(pairs, columns, start, typed(pairs, "a", "b long"))
 
 
-class _Texts:
-    """The sketches and texts of class representatives."""
+class _Members:
+    """Sketches and texts of the classes that share a band with another one."""
 
-    def __init__(self, df: DataFrame, classes: DataFrame, id_col: str, text_col: str):
-        self.classes = classes
-        self.texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
-            "hash", F.xxhash64("text")
+    def __init__(self, df: DataFrame, classes: DataFrame, reps: DataFrame, id_col: str, text_col: str):
+        self.sides = stored(classes.join(reps, "rep", "left_semi").select("rep", "hash", "n", "registers"), "near-sides")
+        texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
+        same = (F.col("id") == F.col("rep")) & (F.col("h") == F.col("hash"))
+        keys = self.sides.select("rep", "hash")
+        self.texts = stored(
+            texts.join(keys, same, "left_semi").select("id", "text").dropDuplicates(["id"]), "near-texts"
         )
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Of distinct (a, b), those that are linked, written to the shared folder."""
-        side = self.classes.select("rep", "n", "registers")
-        a = side.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
-        b = side.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
+        a = self.sides.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
+        b = self.sides.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
         fits = 100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb")
         likely = stored(_likely(pairs.join(a, "a").join(b, "b").where(fits)), "near-pairs")
-        wanted = likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct()
-        keys = self.classes.select("rep", "hash").join(wanted, "rep")
-        texts = stored(
-            self.texts.join(keys, (self.texts["id"] == keys["rep"]) & (self.texts["hash"] == keys["hash"]), "left_semi")
-            .select("id", "text").dropDuplicates(["id"]),
-            "near-texts",
-        )
-        left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
-        right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
+        left = self.texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
+        right = self.texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
         return stored(_linked(likely.join(left, "a").join(right, "b")), "near-links")
 
+    def able(self, opened: DataFrame) -> DataFrame:
+        """The rows (band, rep, label) that can still have a link, with n and shared.
+
+        ``shared`` counts the shingles of a member that members of other components have.
+        Two sets of n and m shingles need THRESHOLD / (100 + THRESHOLD) of n + m in common,
+        and the smallest member of a bucket bounds m.
+        """
+        members = opened.select("rep", "label").distinct()
+        sets = _shingle_rows(self.texts.join(members, F.col("id") == F.col("rep")).select("rep", "text", "label"))
+        spread = sets.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+        shared = sets.join(spread, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("shared"))
+        rows = opened.join(self.sides.select("rep", "n"), "rep").join(shared, "rep")
+        smallest = rows.groupBy("band").agg(F.min("n").alias("least"))
+        other = F.greatest(F.col("least"), F.col("n") * THRESHOLD / 100)
+        return rows.join(smallest, "band").where(
+            (100 + THRESHOLD) * F.col("shared") >= THRESHOLD * (F.col("n") + other)
+        ).drop("least")
+
+
+def _shingle_rows(members: DataFrame) -> DataFrame:
+    """One row per member and shingle."""
+
+    def start():
+        shingles = Shingles()
+        return lambda reps, texts, labels: [reps, labels, [shingles.of(t).view(np.int64) for t in texts]]
+
+    sets = map_texts(members, ["rep", "text", "label"], start, typed(members, "rep", "label long, shingles array<long>"))
+    return sets.select("rep", "label", F.explode("shingles").alias("shingle"))
+
+
+def _in_several(rows: DataFrame) -> DataFrame:
+    """The rows of buckets with members of more than one component."""
+    split = rows.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    return rows.join(split, "band", "left_semi")
+
 
 def components(links: DataFrame) -> DataFrame:
     """(id, label) for every end of the links (a, b): the smallest id it is connected with.
@@ -261,42 +296,51 @@ def _class_labels(df: DataFrame, classes: DataFrame, id_col: str, text_col: str)
     rows = classes.select("rep", F.explode(bands).alias("band"))
     buckets = rows.groupBy("band").agg(F.min("rep").alias("center"), F.count("*").alias("size")).where("size > 1")
     members = stored(rows.join(buckets, "band").where("rep <> center"), "band-members")
-    texts = _Texts(df, classes, id_col, text_col)
+    both = members.select("rep").union(members.select("center")).distinct()
+    sets = _Members(df, classes, both, id_col, text_col)
     pairs = stored(members.select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct(), "near-candidates")
-    compared, links = [pairs], [texts.confirmed(pairs)]
-    labels = stored(components(links[0]), "near-labels")
+    compared = [pairs]
+    labels = stored(components(sets.confirmed(pairs)), "near-labels")
     # Buckets of two are settled; in larger ones members may link with each other only.
-    rest = members.where("size > 2")
-    longest = rest.agg(F.max("size")).first()[0] or 0
-    share = 1 << max(0, int(longest - 1).bit_length())
-    while longest:
+    rest, share = members.where("size > 2").select("band", "rep"), None
+    while share != 1:
         named = rest.join(labels, rest["rep"] == labels["id"], "left").select(
             "band", "rep", F.coalesce("label", "rep").alias("label")
         )
-        split = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        opened = stored(named.join(split, "band", "left_semi"), "open-buckets")
+        opened = stored(_in_several(named), "open-buckets")
         if opened.isEmpty():
             break
+        opened = stored(_in_several(sets.able(opened)), "open-buckets")
+        sizes = opened.groupBy("band").agg(F.count("*").cast("double").alias("n"))
+        every, squares = sizes.agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+        if not every:
+            break
+        # So many centres that a round makes a bounded number of pairs per member, all of them in the end.
+        wanted = 1 << max(0, math.ceil(math.log2(squares / (PAIRS * every))))
+        share = wanted if share is None else min(wanted, share // 2)
+        rest = opened.select("band", "rep")
         centers = opened.where(F.pmod(F.xxhash64("rep"), F.lit(share)) == 0).select(
-            "band", F.col("rep").alias("center"), F.col("label").alias("center_label")
+            "band", *[F.col(c).alias(f"c_{c}") for c in ("rep", "label", "n", "shared")]
         )
+        enough = (100 + THRESHOLD) * F.least("shared", "c_shared") >= THRESHOLD * (F.col("n") + F.col("c_n"))
         pairs = (
-            opened.join(centers, "band").where("label <> center_label")
-            .select(F.greatest("rep", "center").alias("a"), F.least("rep", "center").alias("b")).distinct()
+            opened.join(centers, "band").where((F.col("label") != F.col("c_label")) & enough)
+            .select(F.greatest("rep", "c_rep").alias("a"), F.least("rep", "c_rep").alias("b")).distinct()
         )
         for before in compared:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = stored(pairs, "near-candidates")
-        if not pairs.isEmpty():
-            compared.append(pairs)
-            links.append(texts.confirmed(pairs))
-            every = links[0]
-            for more in links[1:]:
-                every = every.union(more)
-            labels = stored(components(every), "near-labels")
-        if share == 1:
-            break
-        share >>= 1
+        compared.append(pairs)
+        found = sets.confirmed(pairs)
+        if not found.isEmpty():
+            # Labels stand for what is linked already: the new links connect them.
+            links = (
+                found.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
+                .join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
+                .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+            )
+            stars = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+            labels = stored(components(links.union(stars)), "near-labels")
     return labels
 
 
