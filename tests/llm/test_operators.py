@@ -103,15 +103,16 @@ def test_personal_data_query(spark, given):
 
 
 def test_reliabilities_find_the_better_labeler():
-    cells = Counter()
-    for y, n in ((1, 300), (0, 700)):
-        for k in range(n):
-            right = 1 if y else -1
-            cells[(right, right if k % 10 else -right, right if k % 3 else -right, 0, right if k % 5 else 0)] += 1
+    rng, cells = np.random.default_rng(5), Counter()
+    truth = rng.random(4000) < 0.3
+    for y in truth:
+        right = 1 if y else -1
+        votes = [right if rng.random() < p else -right for p in (0.95, 0.85, 0.7)]
+        cells[(*votes, 0, right if rng.random() < 0.6 else 0)] += 1
     share, given, posterior = personal_data.reliabilities({k: float(v) for k, v in cells.items()})
-    assert abs(share - 0.3) < 0.02
+    assert abs(share - truth.mean()) < 0.03
     assert given[0][1][1] > given[1][1][1] > given[2][1][1]
-    assert all((p > 0.5) == (v[0] > 0) for v, p in posterior.items())
+    assert posterior[1, 1, 1, 0, 1] > 0.99 and posterior[-1, -1, -1, 0, -1] < 0.01
 
 
 def test_running_sums(spark):
