@@ -20,7 +20,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.matches import GAP, WORD, phrase, spans, word_count
+from panelwright.llm.matches import WORD, let, phrase, spans, word_count
 
 BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
 BASE_SCORE = 0.6
@@ -159,7 +159,9 @@ def detections(text: Column, rules: list[Rule] | None = None) -> Column:
     named = F.array_distinct(F.transform(
         F.regexp_extract_all(text, F.lit(f"(?i)(?<!{WORD})(?:{keywords})(?!{WORD})"), F.lit(0)), F.lower
     ))
-    tried = F.filter(_literal(rules), lambda r: F.array_contains(named, r["keyword"]) & F.rlike(text, r["regex"]))
+    tried = let(named, lambda words: F.filter(
+        _literal(rules), lambda r: F.array_contains(words, r["keyword"]) & F.rlike(text, r["regex"])
+    ))
     found = F.flatten(F.transform(
         tried,
         lambda r: F.transform(

@@ -12,6 +12,11 @@ GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]++"
 _BLOCK = 64
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body, or a lambda in it, uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def word_count(text: Column) -> Column:
     """Words of a text: maximal runs of WORD."""
     return F.regexp_count(text, F.lit(f"{WORD}++")).cast("long")
@@ -22,44 +27,47 @@ def phrase(words: str) -> str:
     return f"(?i)(?<!{WORD})" + GAP.join(words.split()) + f"(?!{WORD})"
 
 
+def _total(array: Column) -> Column:
+    return F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
 def running_sums(values: Column) -> Column:
     """Sums of the first 1, 2, ... values of an array of longs.
 
     In blocks, so that the work stays close to linear in long arrays.
     """
-    def total(array):
-        return F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
-
-    blocks = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int")))
-    block = F.transform(blocks, lambda b: F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)))
-    groups = F.transform(block, lambda a: F.struct(a.alias("a"), total(a).alias("s")))
-    summed = F.transform(
-        groups,
-        lambda g, b: F.struct(
-            g["a"].alias("a"),
-            F.aggregate(F.slice(groups, F.lit(1), b), F.lit(0).cast("long"), lambda n, x: n + x["s"]).alias("before"),
+    return let(values, lambda v: F.when(F.size(v) > 0, _sums(v)).otherwise(F.array().cast("array<long>")))
+
+
+def _sums(values: Column) -> Column:
+    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int"))
+    totals = F.transform(blocks, lambda b: _total(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))))
+    return let(totals, lambda t: F.flatten(F.transform(
+        blocks,
+        lambda b: let(
+            F.struct(
+                F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK)).alias("block"),
+                _total(F.slice(t, F.lit(1), b)).alias("before"),
+            ),
+            lambda g: F.transform(g["block"], lambda _, i: g["before"] + _total(F.slice(g["block"], F.lit(1), i + 1))),
         ),
-    )
-    return F.coalesce(
-        F.flatten(F.transform(
-            summed,
-            lambda g: F.transform(g["a"], lambda _, i: g["before"] + total(F.slice(g["a"], F.lit(1), i + 1))),
-        )),
-        F.array().cast("array<long>"),
-    )
+    )))
 
 
 def spans(text: Column, regex: Column | str) -> Column:
     """Array of (start, end, match) of all matches, in code points, the end exclusive."""
     pattern = F.lit(regex) if isinstance(regex, str) else regex
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, pattern, -1)
-    lengths = F.zip_with(
-        F.slice(between, F.lit(1), F.size(found)), found,
-        lambda gap, m: F.struct(F.length(gap).cast("long").alias("gap"), F.length(m).cast("long").alias("own"), m.alias("m")),
-    )
-    ends = running_sums(F.transform(lengths, lambda x: x["gap"] + x["own"]))
-    return F.zip_with(
-        ends, lengths,
-        lambda end, x: F.struct((end - x["own"]).alias("start"), end.alias("end"), x["m"].alias("match")),
-    )
+    return let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda found: F.when(
+        F.size(found) == 0, F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
+    ).otherwise(let(
+        F.zip_with(
+            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found,
+            lambda gap, m: F.struct(
+                F.length(gap).cast("long").alias("gap"), F.length(m).cast("long").alias("own"), m.alias("m")
+            ),
+        ),
+        lambda lengths: F.zip_with(
+            running_sums(F.transform(lengths, lambda x: x["gap"] + x["own"])), lengths,
+            lambda end, x: F.struct((end - x["own"]).alias("start"), end.alias("end"), x["m"].alias("match")),
+        ),
+    )))
