@@ -18,7 +18,9 @@ the names of new columns are parameters.
 import hashlib
 import os
 import re
+from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,7 +30,7 @@ from tokenizers import Tokenizer, decoders, models, normalizers
 from panelwright.llm.texts import add_columns
 
 MARKER = "▁"
-CACHED_WORDS = 80_000
+CACHED_WORDS = 250_000
 CALL_WORDS = 10_000  # words in one call of the tokenizer, whose results are large
 SLICE_BYTES = 2 << 20  # of text that a task codes at once
 THREADS = 2
@@ -85,7 +87,7 @@ class Model:
         return MARKER + text if text and self.dummy_prefix else text
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian 32-bit numbers."""
+        """Ids of each text, as 32-bit numbers."""
         prepared = [self.prepared(t) for t in texts]
         if not self.by_word:
             return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(prepared, add_special_tokens=False)]
@@ -93,7 +95,7 @@ class Model:
         known = self.encoded
         if len(known) > CACHED_WORDS:
             known.clear()
-        new = list({w for ws in words for w in ws if w not in known})
+        new = list(set(chain.from_iterable(words)).difference(known))
         for at in range(0, len(new), CALL_WORDS):
             call = new[at: at + CALL_WORDS]
             for word, found in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False)):
@@ -106,17 +108,17 @@ class Model:
         known = self.decoded
         if len(known) > CACHED_WORDS:
             known.clear()
-        new = list({p for ps in parts for p in ps if p not in known})
+        new = list(set(chain.from_iterable(parts)).difference(known))
         for at in range(0, len(new), CALL_WORDS):
             call = new[at: at + CALL_WORDS]
-            lists = [np.frombuffer(p, dtype="<i4").tolist() for p in call]
+            lists = [array("i", p).tolist() for p in call]
             known.update(zip(call, self.tokenizer.decode_batch(lists, skip_special_tokens=False)))
         texts = ["".join(map(known.__getitem__, ps)) for ps in parts]
         return [t[1:] if self.dummy_prefix and t.startswith(" ") else t for t in texts]
 
     def _words_of(self, ids: bytes) -> list[bytes]:
         """The ids cut before each piece that starts a marked word."""
-        numbers = np.frombuffer(ids, dtype="<i4")
+        numbers = np.frombuffer(ids, dtype="i4")
         if not len(numbers):
             return []
         cuts = np.flatnonzero(self.starts[numbers]) * 4
@@ -133,7 +135,7 @@ def _pattern(regex: str):
 
 
 def _packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<i4").tobytes()
+    return array("i", ids).tobytes()
 
 
 def _bpe(pieces, trainer) -> models.BPE:
@@ -196,7 +198,7 @@ def encoded(
             same = iter([a == b for a, b in zip(rebuilt.decode(ids), given)])
             ids = iter(ids)
             return [
-                [None if t is None else np.frombuffer(next(ids), dtype="<i4") for t in texts],
+                [None if t is None else np.frombuffer(next(ids), dtype="i4") for t in texts],
                 [None if t is None else next(same) for t in texts],
             ]
 
