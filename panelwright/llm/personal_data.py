@@ -196,6 +196,15 @@ def _accepted(weights: dict, span: Column) -> Column:
     return reduce(lambda a, b: a + b, terms) >= 0
 
 
+def _added(kind: str, weights: dict | None) -> Column:
+    """The candidates of a kind that the classifier accepts; none if it had nothing to learn from."""
+    kept = F.array()
+    if weights is not None:
+        accepted = F.filter(f"more_{kind}", lambda s: _accepted(weights, s))
+        kept = F.transform(accepted, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return kept.cast("array<struct<start:bigint,end:bigint>>")
+
+
 def scanned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, an array of base spans per kind, an array of candidates per added kind."""
     text = F.coalesce(F.col("__text"), F.lit(""))
@@ -225,11 +234,5 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 patterns[cell[:LABELERS]] += cells[cell]
             posterior = reliabilities(dict(patterns))[2]
             models[kind] = span_classifier(dict(sorted(cells.items())), posterior)
-    plain = "array<struct<start:bigint,end:bigint>>"
-    added = [
-        (F.transform(F.filter(f"more_{k}", lambda s, k=k: _accepted(models[k], s)),
-                     lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-         if k in models else F.array()).cast(plain).alias(f"added_{k}")
-        for k in ADDED
-    ]
+    added = [_added(kind, models.get(kind)).alias(f"added_{kind}") for kind in ADDED]
     return found.select(id_col, *[f"base_{k}" for k in KINDS], *added)
