@@ -2,10 +2,10 @@
 
 A rule is a regex for a wording of a license (``licensed under the NAME``, ``NAME
 license version 2 0``, an SPDX line ...) with a priority and a confidence. A text is
-first tested for the words that any wording needs, then for the words that name license
-families; only the rules of families that are named are tried. Where matches overlap, one
-that lies inside another is dropped, and of equal intervals the rule of higher priority
-stays.
+first tested for the words that any wording needs, then for the rules' keywords; only
+rules whose keyword, a word of their own phrase, stands in the text are tried. Where
+matches overlap, one that lies inside another is dropped, and of equal intervals the rule
+of higher priority stays.
 
 Base phrases (``mit license`` and the like) are counted apart; their labels always stay.
 
@@ -15,6 +15,7 @@ not read.
 """
 
 import json
+from collections import Counter
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,7 @@ from panelwright.llm.matches import WORD, let, phrase, spans, word_count
 BASE = {"mit": "mit license", "apache": "apache license", "gpl": "general public license"}
 BASE_SCORE = 0.6
 
-# Families: label, the word that must stand in a text, names, versions that are told apart, SPDX stem.
+# Families: label, keyword of the rules whose phrase holds it, names, versions that are told apart, SPDX stem.
 FAMILIES = (
     ("mit", "mit", ("mit",), (), "mit"),
     ("mit", "expat", ("expat",), (), "expat"),
@@ -100,7 +101,7 @@ WORDINGS = (
     ("N license", 6, 0.7),
     ("N licence", 6, 0.7),
 )
-# Wordings without a family: label, the word that must stand in a text, phrase, priority, confidence.
+# Wordings without a family: label, keyword (a word of the phrase), phrase, priority, confidence.
 OTHERS = (
     ("public-domain", "domain", "released into the public domain", 4, 0.9),
     ("public-domain", "domain", "dedicated to the public domain", 4, 0.9),
@@ -120,7 +121,7 @@ _ANY = r"(?i)licen[sc]e|spdx|under the terms|public domain|rights reserved|propr
 class Rule:
     """A signature: what it finds and how it ranks."""
 
-    keyword: str
+    keyword: str  # stands in every match
     label: str
     regex: str
     priority: int
@@ -130,12 +131,15 @@ class Rule:
 def signature_rules() -> list[Rule]:
     """All rules, built from families and wordings; without repeats, in order of priority."""
     found: dict[tuple[str, str], Rule] = {}
+    families = Counter(w for _, _, names, _, spdx in FAMILIES for w in set(" ".join((*names, spdx)).split()))
     for label, keyword, names, versions, spdx in FAMILIES:
         for wording, priority, confidence in WORDINGS:
             for name in names if "N" in wording.split() else (spdx,):
                 for version in versions if "V" in wording.split() else ("",):
                     words = " ".join({"N": name, "V": version, "S": spdx}.get(w, w) for w in wording.split())
-                    rule = Rule(keyword, label, phrase(words), priority, confidence)
+                    held = [keyword] if keyword in name.split() else name.split()
+                    rarest = min(held, key=lambda w: (families[w], -len(w), w))
+                    rule = Rule(rarest, label, phrase(words), priority, confidence)
                     found.setdefault((label, rule.regex), rule)
     for label, keyword, words, priority, confidence in OTHERS:
         rule = Rule(keyword, label, phrase(words), priority, confidence)

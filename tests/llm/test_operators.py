@@ -377,6 +377,16 @@ def test_inner_and_equal_detections_are_suppressed(spark):
     }
 
 
+def _own_phrase(rule):
+    """The words that the rule's regex was made of."""
+    inner = rule.regex.removeprefix(f"(?i)(?<!{matches.WORD})").removesuffix(f"(?!{matches.WORD})")
+    return inner.replace(matches.GAP, " ")
+
+
+def test_every_rule_is_named_by_a_word_of_its_phrase():
+    assert [r for r in license_scan.signature_rules() if r.keyword not in _own_phrase(r).split()] == []
+
+
 def test_there_are_hundreds_of_rules():
     rules = license_scan.signature_rules()
     assert len(rules) > 300 and [r.priority for r in rules] == sorted(r.priority for r in rules)
