@@ -2,10 +2,9 @@
 
 A rule is a regex for a wording of a license (``licensed under the NAME``, ``NAME
 license version 2 0``, an SPDX line ...) with a priority and a confidence. A text is
-first tested for the words that any wording needs, then for the rules' keywords; only
-rules whose keyword, a word of their own phrase, stands in the text are tried. Where
-matches overlap, one that lies inside another is dropped, and of equal intervals the rule
-of higher priority stays.
+first searched for the rules' keywords; only rules whose keyword, a word of their own
+phrase, stands in the text are tried. Where matches overlap, one that lies inside another
+is dropped, and of equal intervals the rule of higher priority stays.
 
 Base phrases (``mit license`` and the like) are counted apart; their labels always stay.
 
@@ -114,7 +113,7 @@ OTHERS = (
     ("isc", "permission", "permission to use copy modify and or distribute this software", 1, 0.95),
     ("gpl", "redistribute", "free software you can redistribute it and or modify it under the terms of the gnu", 1, 0.95),
 )
-_ANY = r"(?i)licen[sc]e|spdx|under the terms|public domain|rights reserved|proprietary|permission|redistribut"
+_BASE_WORD = "(?i)license"  # stands in every base phrase
 
 
 @dataclass(frozen=True)
@@ -147,10 +146,12 @@ def signature_rules() -> list[Rule]:
     return sorted(found.values(), key=lambda r: (r.priority, r.label, r.regex))
 
 
+_RULES = "ARRAY<STRUCT<keyword: STRING, label: STRING, regex: STRING, priority: INT, confidence: DOUBLE>>"
+
+
 def _literal(rules: list[Rule]) -> Column:
     """The rules as one constant array."""
-    fields = "keyword STRING, label STRING, regex STRING, priority INT, confidence DOUBLE"
-    return F.from_json(F.lit(json.dumps([asdict(r) for r in rules])), f"ARRAY<STRUCT<{fields}>>")
+    return F.from_json(F.lit(json.dumps([asdict(r) for r in rules])), _RULES)
 
 
 def detections(text: Column, rules: list[Rule] | None = None) -> Column:
@@ -163,9 +164,9 @@ def detections(text: Column, rules: list[Rule] | None = None) -> Column:
     named = F.array_distinct(F.transform(
         F.regexp_extract_all(text, F.lit(f"(?i)(?<!{WORD})(?:{keywords})(?!{WORD})"), F.lit(0)), F.lower
     ))
-    tried = let(named, lambda words: F.filter(
+    tried = let(named, lambda words: F.when(F.size(words) == 0, F.array().cast(_RULES)).otherwise(F.filter(
         _literal(rules), lambda r: F.array_contains(words, r["keyword"]) & F.rlike(text, r["regex"])
-    ))
+    )))
     found = F.flatten(F.transform(
         tried,
         lambda r: F.transform(
@@ -205,14 +206,14 @@ def license_scan(
 ) -> DataFrame:
     """One row per document: id, words, base places, labels and score."""
     text = F.col("__text")
-    seen = text.rlike(_ANY)
+    seen = text.rlike(_BASE_WORD)
     columns = []
     for label, words in BASE.items():
         parts = F.split(text, phrase(words), -1)
         columns.append(F.when(seen & text.rlike(phrase(words)), parts).alias(f"__{label}"))
     parted = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("__text")).select(
         id_col, word_count(text).alias("n_words"), *columns,
-        F.when(seen, resolved(detections(text, rules))).alias("__kept"),
+        resolved(detections(text, rules)).alias("__kept"),
     )
     counts, firsts, lasts, labels = [], [], [], []
     for label, words in BASE.items():
@@ -224,10 +225,10 @@ def license_scan(
         ))
         labels.append(F.when(parts.isNotNull(), F.lit(label)))
     base = F.array_compact(F.array(*labels))
-    more = F.coalesce(F.col("__kept")["labels"], F.array().cast("array<string>"))
+    more = F.col("__kept")["labels"]
     score = F.greatest(
         F.when(F.size(base) > 0, F.lit(BASE_SCORE)).otherwise(F.lit(0.0)),
-        F.coalesce(F.col("__kept")["score"], F.lit(0.0)),
+        F.col("__kept")["score"],
     )
     return parted.select(
         id_col, "n_words", sum(counts[1:], counts[0]).alias("n_base"),

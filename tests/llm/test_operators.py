@@ -387,6 +387,15 @@ def test_every_rule_is_named_by_a_word_of_its_phrase():
     assert [r for r in license_scan.signature_rules() if r.keyword not in _own_phrase(r).split()] == []
 
 
+@pytest.mark.parametrize("gap", [" ", "\n", "  * "])
+def test_every_phrase_alone_yields_its_label(spark, gap):
+    rules = license_scan.signature_rules()
+    texts = [(k, gap.join(["see:", *_own_phrase(r).split()])) for k, r in enumerate(rules)]
+    found = license_scan.license_scan(spark.createDataFrame(texts, "doc_id LONG, text STRING")).collect()
+    labels = {r["doc_id"]: r["labels"].split(",") for r in found}
+    assert [texts[k] for k, r in enumerate(rules) if r.label not in labels[k]] == []
+
+
 def test_there_are_hundreds_of_rules():
     rules = license_scan.signature_rules()
     assert len(rules) > 300 and [r.priority for r in rules] == sorted(r.priority for r in rules)
