@@ -8,7 +8,8 @@ select the windows to test, and a direct comparison confirms each occurrence.
 The benchmark is a stated query set. It is broadcast in blocks of a checked number of
 windows; each batch of documents is searched for one block after the other, so a task
 holds one block's tables at a time. A benchmark above ``pass_bytes`` is searched in
-several passes, each over all documents, with the hits so far carried along.
+several passes, each over all documents, with the hits so far carried along. Its items
+are read as passes need them: the driver holds the blocks of one pass, not all items.
 
 Defined results: null and empty texts have no words, no hits and no items. Items
 without words have no window. Equal items all count. Repeated document rows are judged
@@ -18,6 +19,7 @@ row by row; other columns of the input are not read.
 from collections import defaultdict
 from collections.abc import Iterator
 
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,9 +107,15 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _passes(benchmark: DataFrame, item_col: str, text_col: str, pass_bytes: int) -> Iterator[list[list[tuple]]]:
-    """The items in passes of blocks, read partition by partition; each item is one row of (id, UTF-8 text)."""
-    blocks: list[list[tuple]] = []
+def _passes(
+    benchmark: DataFrame, item_col: str, text_col: str, pass_bytes: int
+) -> Iterator[tuple[list[Broadcast], bool]]:
+    """The items in passes of broadcast blocks, read partition by partition, and whether a pass is the last.
+
+    Each item is one row of (id, UTF-8 text). No more is read than one item beyond a pass.
+    """
+    broadcast = benchmark.sparkSession.sparkContext.broadcast
+    blocks: list[Broadcast] = []
     block: list[tuple] = []
     words = size = 0
     rows = benchmark.select(item_col, F.col(text_col).cast("binary")).where(F.length(text_col) > 0).distinct()
@@ -115,16 +123,15 @@ def _passes(benchmark: DataFrame, item_col: str, text_col: str, pass_bytes: int)
         text = bytes(text)
         n = len(folded_words(text))
         if block and words + n > BLOCK_WORDS:
-            blocks.append(block)
+            blocks.append(broadcast(block))
             block, words = [], 0
         if (blocks or block) and size + len(text) > pass_bytes:
-            yield [*blocks, block] if block else blocks
+            yield [*blocks, broadcast(block)] if block else blocks, False
             blocks, block, words, size = [], [], 0, 0
         block.append((item, text))
         words += n
         size += len(text)
-    if block or blocks:
-        yield [*blocks, block] if block else blocks
+    yield [*blocks, broadcast(block)] if block else blocks, True
 
 
 def benchmark_hits(
@@ -134,11 +141,8 @@ def benchmark_hits(
     """One row per document: id, n_words, covered spans of words, items with an occurring window."""
     item_type = benchmark.schema[item_col].dataType.simpleString()
     fields = f"n_words long, spans array<struct<first:int,end:int>>, items array<{item_type}>"
-    context = df.sparkSession.sparkContext
-    frame, passes = df.select(id_col, text_col), list(_passes(benchmark, item_col, item_text_col, pass_bytes)) or [[]]
-    for k, blocks in enumerate(passes):
-        sent = [context.broadcast(block) for block in blocks]
-        last = k == len(passes) - 1
+    frame = df.select(id_col, text_col)
+    for sent, last in _passes(benchmark, item_col, item_text_col, pass_bytes):
 
         def start(sent=sent, last=last):
             only = Search(sent[0].value) if len(sent) == 1 else None
@@ -163,6 +167,8 @@ def benchmark_hits(
         frame = map_texts(frame, list(frame.columns), start, typed(df, id_col, kept + fields))
         if not last:
             frame = stored(frame, "benchmark-hits")
+            for block in sent:
+                block.destroy()
     return frame
 
 

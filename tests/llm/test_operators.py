@@ -416,6 +416,26 @@ def test_contamination(spark, docs, rows, none, monkeypatch, pass_bytes, block):
     assert decontamination.contamination(docs, items.where("false")).where("contaminated").count() == 0
 
 
+def test_passes_are_read_one_after_the_other(spark, docs, monkeypatch):
+    drawn, at_stores = [], []
+    passes, store = decontamination._passes, decontamination.stored
+
+    def counted(*args):
+        for one in passes(*args):
+            drawn.append(1)
+            yield one
+
+    def noted(frame, name):
+        at_stores.append(len(drawn))
+        return store(frame, name)
+
+    monkeypatch.setattr(decontamination, "_passes", counted)
+    monkeypatch.setattr(decontamination, "stored", noted)
+    items = spark.createDataFrame(ITEMS, "item_id LONG, text STRING")
+    decontamination.benchmark_hits(docs, items, pass_bytes=60)
+    assert len(at_stores) > 1 and at_stores == list(range(1, len(drawn)))
+
+
 def test_wu_manber_finds_every_place():
     rng = np.random.default_rng(7)
     for length in (1, 2, 3, 5):
