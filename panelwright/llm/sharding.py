@@ -6,8 +6,9 @@ exact bytes and rows below candidate boundaries; between the two candidates that
 enclose a wanted boundary the next round probes anew, until each boundary is within the
 tolerance or cannot be refined. Then one exchange of the rows gives each its place.
 
-Each shard is a number of ranges, so that no task sorts a whole shard; the counts
-below the boundaries are exact, which makes the slots gapless without another pass.
+Each shard is a number of ranges, so that no task sorts a whole shard; they are cut by
+bytes and by rows, as many tiny texts are few bytes. The counts below the boundaries are
+exact, which makes the slots gapless without another pass.
 
 Defined results: a null text has the size 1 and the checksum of an empty text; null ids
 come first. Rows that agree in text and id cannot be told apart and stay in one range. An
@@ -15,6 +16,8 @@ empty table has no shards. Other columns are kept; names that begin with ``__``
 """
 
 from bisect import bisect_left
+from itertools import accumulate
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +27,7 @@ from panelwright.session import stored
 TOLERANCE = 0.001  # of a shard's bytes, at the shards' boundaries
 LOOSE = 0.2  # of a range's bytes, at the others
 PROBES = 8  # per boundary and round
-RANGE_ROWS = 200_000
+RANGE_ROWS = 200_000  # a range has at most, unless rows share text and id or MOST_RANGES are not enough
 MOST_RANGES = 4096
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 Key = tuple[int, int]
@@ -72,10 +75,13 @@ class _Histogram:
         return [cells.get(i) for i in range(len(keys) + 1)]
 
 
-def boundaries(keyed: DataFrame, shards: int, ranges: int) -> tuple[list[Key], list[int], int]:
-    """Keys that cut the rows into shards * ranges parts, the rows below each, and all rows.
+def boundaries(
+    keyed: DataFrame, shards: int, ranges: int, row_parts: int = 1
+) -> tuple[list[Key], list[int], int, list[bool]]:
+    """Keys that cut the rows into parts, the rows below each, all rows, and which keys end a shard.
 
-    ``keyed`` has ``__k``, ``__d`` and ``__size``.
+    The parts come from cuts into shards * ranges parts of equal bytes and into row_parts
+    parts of equal rows. ``keyed`` has ``__k``, ``__d`` and ``__size``.
     """
     histogram, parts = _Histogram(keyed), shards * ranges
     known: dict[Key, tuple[int, int]] = {}
@@ -90,13 +96,17 @@ def boundaries(keyed: DataFrame, shards: int, ranges: int) -> tuple[list[Key], l
         last = cells[len(keys)]
         total_rows, total = rows + (last["rows"] if last else 0), size + (last["bytes"] if last else 0)
         probed, asked = keys, set()
+        order, wants = sorted(known), []
         for part in range(1, parts):
-            wanted = total * part / parts
             tolerance = total / shards * TOLERANCE if part % ranges == 0 else total / parts * LOOSE
-            order = sorted(known)
-            at = bisect_left([known[k][1] for k in order], wanted)
-            below = known[order[at - 1]][1] if at else 0
-            above = known[order[at]][1] if at < len(order) else total
+            wants.append((1, total * part / parts, tolerance))
+        for part in range(1, row_parts):
+            wants.append((0, total_rows * part / row_parts, total_rows / row_parts * LOOSE))
+        sizes = [[known[k][by] for k in order] for by in (0, 1)]
+        for by, wanted, tolerance in wants:
+            at = bisect_left(sizes[by], wanted)
+            below = sizes[by][at - 1] if at else 0
+            above = sizes[by][at] if at < len(order) else (total_rows, total)[by]
             if min(wanted - below, above - wanted) <= tolerance:
                 continue
             low = order[at - 1] if at else (LOWEST, LOWEST)
@@ -125,14 +135,17 @@ def boundaries(keyed: DataFrame, shards: int, ranges: int) -> tuple[list[Key], l
         fresh = [k for k in asked if k not in known]
         keys = sorted(asked) if fresh else []
     order = sorted(known)
-    chosen, sizes = [], [known[k][1] for k in order]
-    for part in range(1, parts):
-        wanted = total * part / parts
-        at = bisect_left(sizes, wanted)
+    sizes = [[known[k][by] for k in order] for by in (0, 1)]
+
+    def nearest(by: int, wanted: float) -> Key:
+        at = bisect_left(sizes[by], wanted)
         near = [i for i in (at - 1, at) if 0 <= i < len(order)]
-        chosen.append(order[min(near, key=lambda i: (abs(sizes[i] - wanted), i))])
-    chosen = sorted(chosen)
-    return chosen, [known[k][0] for k in chosen], total_rows
+        return order[min(near, key=lambda i: (abs(sizes[by][i] - wanted), i))]
+
+    chosen = [(nearest(1, total * part / parts), part % ranges == 0) for part in range(1, parts)]
+    chosen += [(nearest(0, total_rows * part / row_parts), False) for part in range(1, row_parts)]
+    chosen.sort()
+    return [k for k, _ in chosen], [known[k][0] for k, _ in chosen], total_rows, [ends for _, ends in chosen]
 
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -148,18 +161,23 @@ def sharded(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
     """All columns, and ``__size``, ``__crc``, ``__shard`` and ``__slot``."""
     rows = keyed(df, id_col, text_col)
     narrow = stored(rows.select("__k", "__d", "__size"), "shard-keys")
-    ranges = max(16, min(MOST_RANGES // shards, narrow.count() // (shards * RANGE_ROWS) + 1))
-    cuts, below, total = boundaries(narrow, shards, ranges)
-    starts = [0, *below]
-    offsets = [starts[part] - starts[part - part % ranges] for part in range(shards * ranges)]
+    rows_in_all = narrow.count()
+    ranges = max(16, min(MOST_RANGES // shards, rows_in_all // (shards * RANGE_ROWS) + 1))
+    row_parts = min(MOST_RANGES, ceil(rows_in_all * (1 + 2 * LOOSE) / RANGE_ROWS)) if rows_in_all > RANGE_ROWS else 1
+    cuts, below, _, ends = boundaries(narrow, shards, ranges, row_parts)
+    at_shards, offsets = [0], [0]
+    for rows_below, ends_shard in zip(below, ends):
+        at_shards.append(rows_below if ends_shard else at_shards[-1])
+        offsets.append(rows_below - at_shards[-1])
     offset = F.array(*[F.lit(o).cast("long") for o in offsets])
+    shard = F.array(*[F.lit(n) for n in accumulate(ends, initial=0)])
     placed = rows.withColumns({
         "__crc": F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")),
         "__part": _cell(cuts, F.col("__k"), F.col("__d")),
     })
     inside = F.row_number().over(Window.partitionBy("__part").orderBy("__k", "__d", "__size", "__crc"))
     return placed.withColumn("__row", inside).select(
-        *df.columns, "__size", "__crc", F.floor(F.col("__part") / ranges).cast("int").alias("__shard"),
+        *df.columns, "__size", "__crc", shard[F.col("__part")].cast("int").alias("__shard"),
         (offset[F.col("__part")] + F.col("__row") - 1).cast("long").alias("__slot"),
     )
 

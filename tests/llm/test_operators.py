@@ -260,6 +260,17 @@ def test_one_text_in_a_third_of_the_rows_is_cut(spark):
     _check_shards(found, rows, 8, 200)
 
 
+def test_ranges_of_many_tiny_texts_are_bounded_by_rows(spark, monkeypatch):
+    found, cut = [], sharding.boundaries
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 100)
+    monkeypatch.setattr(sharding, "boundaries", lambda *args: found.append(cut(*args)) or found[-1])
+    rows = [(k, (None, "")[k % 2]) for k in range(1000)] + [(5000 + k, f"text {k} " * 300) for k in range(500)]
+    placed = sharding.sharded(spark.createDataFrame(rows, "doc_id LONG, text STRING"), 4).collect()
+    _check_shards(placed, rows, 4, 3000)
+    below, total = found[0][1:3]
+    assert total == 1500 and max(b - a for a, b in zip([0, *below], [*below, total])) <= 100
+
+
 def test_rows_of_one_id_and_text_stay_together(spark):
     rows = [(5, "again")] * 300 + [(k, f"t{k}") for k in range(300)]
     found = sharding.sharded(spark.createDataFrame(rows, "doc_id LONG, text STRING"), 4).collect()
