@@ -725,7 +725,7 @@ def incremental_landing(spark, sf_dir):
 
 
 def incremental_upsert(spark, sf_dir):
-    """Events in several files, newest first, merged one file per batch into a row per user and type.
+    """Events in many files, newest first, merged a third of the files per batch into a row per user and type.
 
     Drained twice from the start: replayed and late rows change nothing.
     """
@@ -733,12 +733,13 @@ def incremental_upsert(spark, sf_dir):
     columns = ["event_type", "user_id", "event_id", "value"]
     events = table(spark, sf_dir, "events")
     newest = events.agg(F.max("event_id")).scalar()
-    for part in range(3):  # the third with the largest ids lands first
+    for part in range(3):  # the third with the largest ids lands first; least() is 2 for NULL ids
         third = F.least(F.floor((newest - F.col("event_id")) * 3 / (newest + 1)), F.lit(2))
-        events.where(third == part).coalesce(1).write.mode("append").parquet(folder)
+        events.where(third == part).write.mode("append").parquet(folder)
+    per_batch = max(1, len(spark.read.schema(events.schema).parquet(folder).inputFiles()) // 3)
     sink = stream.upsert_sink(path, ["event_type", "user_id"], "event_id", ["event_type"], lambda df: df.select(*columns))
     for _ in range(2):
-        landed = stream.new_files(spark, folder, events.schema, "parquet", files_per_batch=1)
+        landed = stream.new_files(spark, folder, events.schema, "parquet", files_per_batch=per_batch)
         stream.drain(landed, fresh_path(spark, "upsert-checkpoint"), sink)
     return files.read_table(spark, path)
 

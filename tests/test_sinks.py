@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from panelwright import session
 from panelwright.operators import landing, sinks
+from panelwright.plans import queries
+from panelwright.plans.given_tables import table
 from panelwright.sources.files import read_json_lines, read_table
 from panelwright.streaming import landing as stream
 
@@ -188,3 +190,19 @@ def test_files_per_folder_do_not_follow_the_tasks(spark, tmp_path):
         df = spark.range(400).selectExpr("int(id) as k", "int(id % 3) as p").repartition(tasks)
         sinks.write_table(df, str(tmp_path / str(tasks)), partition_cols=["p"])
         assert len(list((tmp_path / str(tasks)).rglob("*.parquet"))) == 3
+
+
+def test_events_of_the_upsert_land_through_many_tasks(spark, tmp_path, monkeypatch):
+    events = table(spark, "/root/testdata/sf0.001", "events")
+    nameless = events.limit(1).select(*[
+        F.lit({"event_id": None, "event_type": "nameless"}[c]).cast(t).alias(c) if c in ("event_id", "event_type") else c
+        for c, t in events.dtypes
+    ])
+    events.repartition(4).unionByName(nameless).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    monkeypatch.setattr(queries, "fresh_path", lambda _, name: str(tmp_path / f"{name}-{len(list(tmp_path.iterdir()))}"))
+    found = queries.incremental_upsert(spark, str(tmp_path / "sf"))
+    keys = events.select("event_type", "user_id").distinct().count()
+    assert found.count() == keys + 1
+    assert found.where("event_id IS NULL").count() == 1
+    (landed,) = tmp_path.glob("events-*")
+    assert len(list(landed.glob("part-*.parquet"))) > 3
