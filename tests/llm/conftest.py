@@ -5,11 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-
-LICENSE = "Released under the MIT License.\nAll rights reserved."
-PROSE = "the cat sat on the mat and looked at the moon over the quiet hills of the old town"
-PASSAGE = "\n".join(f"line {k} of a passage with several plain words that every copy has at this place {k}" for k in range(5))
-ODD = "ﬁne ＡＢＣ naïve İstanbul 日本語 🙂 a\tb\r\nc  d\x0be\x00f"
+from llm_rows import LICENSE, ODD, PASSAGE, PROSE
 
 
 @pytest.fixture(scope="session")
@@ -47,8 +43,3 @@ def docs(spark, rows):
 @pytest.fixture(scope="session")
 def none(docs):
     return docs.where("doc_id < 0")
-
-
-def same(found, expected):
-    """Equal as multisets; null ids compare by their text form."""
-    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, map(tuple, expected)))

@@ -11,7 +11,7 @@ from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
 import brute
 from compare import differences, duck
-from conftest import PASSAGE, same
+from llm_rows import PASSAGE, same
 from panelwright.llm import (
     decontamination,
     license_scan,

@@ -6,7 +6,7 @@ from sentencepiece import SentencePieceProcessor
 
 import brute
 import corpus_pipeline
-from conftest import same
+from llm_rows import same
 from panelwright.llm.queries import LLM_QUERIES, sentencepiece_model
 from panelwright.plans.given_tables import table
 
