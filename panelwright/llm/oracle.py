@@ -126,9 +126,37 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(hits.n, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hits USING (row) LEFT JOIN items USING (row)
 """
 
+RANKED_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_FOLDED} AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0),
+tf AS (
+  SELECT row, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+  FROM tf, s GROUP BY term, n_docs
+),
+b AS (
+  SELECT DISTINCT item, item_id, term
+  FROM (SELECT row_number() OVER () AS item, item_id, unnest({_FOLDED}) AS term FROM benchmark)
+),
+scores AS (
+  SELECT item, item_id, row, doc_id,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // length))))::BIGINT AS score
+  FROM b JOIN weights USING (term) JOIN tf USING (term), s GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 LLM_ORACLE = {
     "op3_quality_rules": QUALITY_RULES,
     "op5_line_dedup": LINE_DEDUP,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op10_decontamination": DECONTAMINATION,
+    "op11_ranked_search": RANKED_SEARCH,
 }

@@ -14,6 +14,7 @@ from panelwright.llm import (
     personal_data,
     piece_codec,
     quality_rules,
+    ranked_search,
     rule_ensemble,
     sharding,
     token_counts,
@@ -119,6 +120,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -129,6 +134,7 @@ LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_personal_data, op3_quality_rules, op4_sentencepiece, op5_line_dedup, op6_sharding,
-        op7_quality_classifier, op8_near_duplicates, op9_license_scan, op10_decontamination, pipeline,
+        op7_quality_classifier, op8_near_duplicates, op9_license_scan, op10_decontamination, op11_ranked_search,
+        pipeline,
     )
 }
