@@ -153,10 +153,60 @@ ranked AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
+SOURCE_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({_LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+groups AS (SELECT DISTINCT lang, source FROM d),
+kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM d) GROUP BY ALL HAVING count(*) >= 10
+),
+vocabulary AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS (
+  SELECT lang, source, term, count(*) AS n
+  FROM (SELECT lang, source, unnest(w) AS term FROM d) SEMI JOIN kept USING (lang, term) GROUP BY ALL
+),
+total AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN n USING (lang, source) GROUP BY ALL
+),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, total,
+    1 + (1000000000 * (coalesce(n, 0) + 2)::HUGEINT) // (total + 2 * v) AS p
+  FROM total JOIN kept USING (lang) JOIN vocabulary USING (lang) LEFT JOIN n USING (lang, source, term)
+),
+q AS (
+  SELECT lang, term, 1 + (1000000000 * (sum(n) + 2)::HUGEINT) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * v) AS q
+  FROM p JOIN vocabulary USING (lang) GROUP BY lang, term, v
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+terms AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', item, value FROM terms
+),
+ranked AS (
+  SELECT lang, source, part, item, value::BIGINT AS value,
+    row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+  FROM every
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 LLM_ORACLE = {
     "op3_quality_rules": QUALITY_RULES,
     "op5_line_dedup": LINE_DEDUP,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op10_decontamination": DECONTAMINATION,
     "op11_ranked_search": RANKED_SEARCH,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
 }

@@ -17,6 +17,7 @@ from panelwright.llm import (
     ranked_search,
     rule_ensemble,
     sharding,
+    source_divergence,
     token_counts,
 )
 from panelwright.plans.given_tables import table
@@ -124,6 +125,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.ranked_search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -135,6 +140,6 @@ LLM_QUERIES = {
     for f in (
         op1_token_counts, op2_personal_data, op3_quality_rules, op4_sentencepiece, op5_line_dedup, op6_sharding,
         op7_quality_classifier, op8_near_duplicates, op9_license_scan, op10_decontamination, op11_ranked_search,
-        pipeline,
+        op12_source_divergence, pipeline,
     )
 }
