@@ -19,6 +19,7 @@ from panelwright.llm import (
     sharding,
     source_divergence,
     token_counts,
+    vector_graph,
 )
 from panelwright.plans.given_tables import table
 
@@ -129,6 +130,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.source_divergence(documents(spark, sf_dir))
 
 
+def op13_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -140,6 +145,6 @@ LLM_QUERIES = {
     for f in (
         op1_token_counts, op2_personal_data, op3_quality_rules, op4_sentencepiece, op5_line_dedup, op6_sharding,
         op7_quality_classifier, op8_near_duplicates, op9_license_scan, op10_decontamination, op11_ranked_search,
-        op12_source_divergence, pipeline,
+        op12_source_divergence, op13_vector_graph, pipeline,
     )
 }
