@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 from pyspark.sql.window import Window
 
 from panelwright.llm.texts import folded_words, map_texts, reachable
@@ -356,7 +356,7 @@ def ranked_search(
             F.col("name").alias(item_col), "rank", F.col("id").alias(id_col), "score"
         ))
     if not results:
-        schema = StructType().add(item_col, item_type).add("rank", "int").add(id_col, "long").add("score", "long")
+        schema = StructType().add(item_col, item_type).add("rank", IntegerType()).add(id_col, LongType()).add("score", LongType())
         return spark.createDataFrame([], schema)
     whole = results[0]
     for part in results[1:]:

@@ -1,9 +1,12 @@
 """Plain, slow versions of what the operators compute, over lists of (id, text)."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import numpy as np
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 FOLDED = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -162,3 +165,65 @@ def line_dedup(rows, least):
         kept = [line for k, line in enumerate(lines_of[row]) if k not in gone[row]]
         texts[i, text] = (len(lines_of[row]), len(gone[row]), "\n".join(kept))
     return [(i, *(texts[i, t] if t is not None else (0, 0, None))) for i, t in rows]
+
+
+def ranked_search(rows, items, k):
+    texts = [(i, folded(t)) for i, t in rows]
+    texts = [(i, w) for i, w in texts if w]
+    n_docs, length = len(texts), sum(len(w) for _, w in texts)
+    df = Counter(term for _, w in texts for term in set(w))
+    out = []
+    for item, text in items:
+        terms, scored = set(folded(text)), []
+        for i, w in texts:
+            counts, score = Counter(w), 0
+            m = 50 + (50 * len(w) * n_docs) // length
+            for t in terms & counts.keys():
+                weight = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += weight * ((10**9 * counts[t]) // (1000 * counts[t] + 20 * m))
+            if score > 0:
+                scored.append((-score, i is None, i))
+        scored.sort(key=lambda s: (s[0], s[1], s[2] or 0))
+        out += [(item, rank + 1, i, -score) for rank, (score, _, i) in enumerate(scored[:k])]
+    return out
+
+
+LETTERS = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def source_divergence(rows, least, top):
+    """``rows`` are (text, lang, source)."""
+    rows = [(LETTERS.findall((t or "").translate(ASCII_LOWER)), a or "", b or "") for t, a, b in rows]
+    groups, docs = defaultdict(Counter), defaultdict(Counter)
+    for words, lang, source in rows:
+        groups[lang, source].update(words)
+        docs[lang].update(set(words))
+    out = []
+    for lang in docs:
+        kept = sorted(t for t, n in docs[lang].items() if n >= least)
+        counts = {s: c for (a, s), c in groups.items() if a == lang}
+
+        def shares(count):
+            total = sum(count[t] for t in kept) + 2 * len(kept)
+            return {t: 1 + (10**9 * (count[t] + 2)) // total for t in kept}
+
+        p, q = {s: shares(c) for s, c in counts.items()}, shares(sum(counts.values(), Counter()))
+        for s in counts:
+            pairs = [(sum((x - y) ** 2 // (x + y) for x, y in ((p[s][t], p[o][t]) for t in kept)), o) for o in counts if o != s]
+            terms = [((p[s][t] - q[t]) ** 2 // (p[s][t] + q[t]), t) for t in kept if counts[s][t] and p[s][t] > q[t]]
+            for part, found, most in (("pair", pairs, None), ("term", terms, top)):
+                found.sort(key=lambda f: (-f[0], f[1].encode()))
+                out += [(lang, s, part, item, value, k + 1) for k, (value, item) in enumerate(found[:most])]
+    return out
+
+
+def nearest(vectors, queries, k):
+    """``vectors`` are distinct (id, list); scores in double precision."""
+    valid = [(i, np.array(v, dtype=float) / max(map(abs, v))) for i, v in vectors
+             if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v)]
+    out = {}
+    for i, v in valid:
+        if i in queries:
+            others = [(-(v @ w) / (np.linalg.norm(v) * np.linalg.norm(w)), j) for j, w in valid if j != i and len(w) == len(v)]
+            out[i] = [(j, -s) for s, j in sorted((round(s, 12), j) for s, j in others)[:k]]
+    return out
