@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from panelwright.operators.ordinals import positions
+from panelwright.session import stored
+
 
 def _col(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -99,40 +102,23 @@ def top_k_within(df: DataFrame, group: str, score: str, k: int, rank: str = "ran
 
 
 def rank_within(
-    df: DataFrame, group: str, score: str, rank: str = "rank", slices: int = 64
+    df: DataFrame, group: str, score: str, rank: str = "rank", slices: int | None = None
 ) -> DataFrame:
     """Dense rank of every row inside its group, best score first, missing scores last.
 
-    No window sees a whole group: the group's distinct scores are cut into slices
-    at approximate quantiles, ranked inside each slice, and shifted by the number
-    of scores in the better slices. The cuts only balance the work; the rank is
-    exact for any cuts. A score shared by many rows is ranked once. ``df`` is read
-    several times: pass a stored table.
+    The distinct (group, score) pairs are exchanged by ranges of (group, score), so that a
+    group with most of the rows is spread over tasks and no window sees it. A pair's rank is
+    its position in that order less the position at which its group begins. A score shared
+    by many rows is ranked once; the join back to the rows splits it if it is hot. ``df`` is
+    read twice: pass a stored table. ``slices`` is the number of ranges (default: the session's
+    shuffle partitions).
     """
-    scores = df.filter(F.col(score).isNotNull()).select(group, score).distinct()
-    marks = [i / slices for i in range(1, slices)]
-    cuts = scores.groupBy(group).agg(F.percentile_approx(score, marks, 1000).alias("_cuts"))
-    sliced = scores.join(cuts, group).select(
-        group,
-        score,
-        F.coalesce(F.size(F.filter("_cuts", lambda cut: cut > F.col(score))), F.lit(0)).alias("_slice"),
-    )
-    sizes = sliced.groupBy(group, "_slice").agg(F.count("*").alias("_size"))
-    better = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        group, "_slice", F.coalesce(F.sum("_size").over(better), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy(group, "_slice").orderBy(F.col(score).desc())
-    ranked = (
-        sliced.withColumn("_local", F.row_number().over(inside))
-        .join(offsets, [group, "_slice"])
-        .select(group, score, (F.col("_offset") + F.col("_local")).alias("_rank"))
-    )
-    unscored = sizes.groupBy(group).agg((F.sum("_size") + 1).alias("_rank"))
-    ranks = ranked.unionByName(unscored, allowMissingColumns=True).select(
-        F.col(group).alias("_group"), F.col(score).alias("_score"), "_rank"
+    pairs = stored(df.select(_col(group).alias("_group"), _col(score).alias("_score")).distinct(), "scores")
+    order = [F.col("_group").asc_nulls_first(), F.col("_score").desc_nulls_last()]
+    placed = positions(pairs, order, "_position", slices)
+    starts = placed.groupBy(F.col("_group").alias("_of")).agg(F.min("_position").alias("_start"))
+    ranks = placed.join(starts, F.col("_group").eqNullSafe(F.col("_of"))).select(
+        "_group", "_score", (F.col("_position") - F.col("_start") + 1).cast("int").alias("_rank")
     )
     same = F.col(group).eqNullSafe(F.col("_group")) & F.col(score).eqNullSafe(F.col("_score"))
-    return df.join(ranks, same, "left").select(
-        *[_col(c) for c in df.columns], F.coalesce("_rank", F.lit(1)).cast("int").alias(rank)
-    )
+    return df.join(ranks, same).select(*[_col(c) for c in df.columns], F.col("_rank").alias(rank))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwright import contract
-from panelwright.operators import audit, index, quality
+from panelwright.operators import audit, index, ordinals, quality
 from panelwright.operators.conform import aggregate_then_conform, conform, flag_presence
 from panelwright.operators.flatten import flatten_indicator, flatten_laureates, flatten_patents
 from panelwright.operators.panel import panel_by_joins, panel_by_union
@@ -345,3 +345,15 @@ def test_status_rollup(spark, statuses, overall, landing, model):
 def test_success_words(spark):
     df = spark.createDataFrame([("COMPLETED",), ("SKIPPED",), ("FAILED",)], "s string")
     assert [r[0] for r in df.select(audit.is_success(F.col("s"))).collect()] == [True, True, False]
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 5])
+def test_positions_follow_the_order(spark, partitions):
+    rows = [(k % 3 if k % 7 else None, (k * 37) % 101) for k in range(60)]
+    df = spark.createDataFrame(rows, "a INT, b INT")
+    order = [F.col("a").asc_nulls_first(), F.col("b").desc()]
+    got = ordinals.positions(df, order, partitions=partitions).collect()
+    expected = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, -r[1]))
+    assert [(r["a"], r["b"]) for r in sorted(got, key=lambda r: r["position"])] == expected
+    assert sorted(r["position"] for r in got) == list(range(60))
+    assert ordinals.positions(df.where("false"), order).count() == 0

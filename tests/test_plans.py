@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.operators import conform, index, panel, quality, reshape, sinks
+from panelwright.operators import conform, index, ordinals, panel, quality, reshape, sinks
 from panelwright.plans import given_tables as given
 from panelwright.plans import gold
+from panelwright.session import stored
 from plan_text import exchanges, executed
 
 SF = "/root/testdata/sf0.001"
@@ -89,13 +90,25 @@ def test_top_k_limits_groups_before_the_exchange(spark, tmp_path):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_no_ranking_window_sees_a_whole_group(spark, tmp_path):
-    path = str(tmp_path / "s")
+def test_ranking_needs_no_window_and_reads_the_rows_twice(spark, tmp_path, monkeypatch):
+    path, made = str(tmp_path / "s"), []
     spark.range(100).select((F.col("id") % 3).alias("g"), F.rand(1).alias("score")).write.parquet(path)
-    plan = executed(index.rank_within(spark.read.parquet(path), "g", "score"))
-    ranking = [line for line in plan.splitlines() if "row_number()" in line and "Window [" in line]
-    assert ranking and all("_slice" in line.split("windowspecdefinition")[1] for line in ranking)
-    assert "SinglePartition" not in plan
+    for module in (index, ordinals):
+        monkeypatch.setattr(module, "stored", lambda df, name: made.append(executed(df)) or stored(df, name))
+    made.append(executed(index.rank_within(spark.read.parquet(path), "g", "score")))
+    assert not any("Window" in plan or "SinglePartition" in plan for plan in made)
+    assert sum(plan.count(f"{tmp_path}/s]") for plan in made) == 2
+
+
+def test_ranking_spreads_a_group_that_has_nearly_all_rows(spark, tmp_path, monkeypatch):
+    path, tables = str(tmp_path / "s"), []
+    hot = F.when(F.col("id") % 50 == 0, F.col("id")).otherwise(7)
+    spark.range(20_000).select(hot.alias("g"), F.rand(1).alias("score")).write.parquet(path)
+    monkeypatch.setattr(ordinals, "stored", lambda df, name: tables.append(stored(df, name)) or tables[-1])
+    ranked = index.rank_within(spark.read.parquet(path), "g", "score", slices=16)
+    assert ranked.where("g = 7").agg(F.max("rank")).first()[0] == 19_600
+    sizes = [r["count"] for r in tables[0].groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 20_000 / 16
 
 
 def test_merge_reads_only_touched_folders(spark, tmp_path):
