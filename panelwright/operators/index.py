@@ -60,6 +60,21 @@ def log1p_minmax(
     return fitted.selectExpr("*", *scaled).drop("_fit")
 
 
+def log1p_scaled(df: DataFrame, bounds: dict[str, tuple[float, float]], suffix: str = "_norm") -> DataFrame:
+    """``log1p_minmax`` with bounds that are known already, from least to largest value of each column."""
+    scaled = []
+    for c, (low, high) in bounds.items():
+        if low <= -1:
+            raise ValueError(f"log1p is undefined for a value of {c}")
+        least = f"log1p(double('{low!r}'))"
+        width = f"(log1p(double('{high!r}')) - {least})"
+        scaled.append(
+            f"(log1p(cast(`{c}` as double)) - {least}) / if({width} = 0, 1D, {width}) + if({width} = 0, 0.5D, 0D)"
+            f" as `{c}{suffix}`"
+        )
+    return df.selectExpr("*", *scaled)
+
+
 def weighted_sum(weights: dict[str, float]) -> Column:
     """Sum of value times weight. A missing component counts as 0; all missing gives NULL."""
     any_present = reduce(or_, [_col(c).isNotNull() for c in weights])

@@ -69,7 +69,7 @@ def latest_per_key(batch: DataFrame, keys: list[str], order: str) -> DataFrame:
     return picked.select(*quoted, "_row.*").select(*[f"`{c}`" for c in batch.columns])
 
 
-def _equal(left: DataFrame, right: DataFrame, columns: list[str]):
+def equal(left: DataFrame, right: DataFrame, columns: list[str]):
     """Rows that agree in the columns; NULL agrees with NULL."""
     return reduce(lambda x, y: x & y, [left[f"`{c}`"].eqNullSafe(right[f"`{c}`"]) for c in columns])
 
@@ -82,10 +82,25 @@ def keyed_merge(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     a file table must not be overwritten while it is read.
     """
     present = batch.select(*[F.col(f"`{k}`").alias(k) for k in keys])
-    kept = current.join(present, _equal(current, present, keys), "left_anti")
+    kept = current.join(present, equal(current, present, keys), "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
+def of_partitions(current: DataFrame, batch: DataFrame, partition_cols: list[str]) -> DataFrame:
+    """The rows of the partitions that the batch has rows in; a scan skips the other folders.
+
+    Up to ``MOST_FOLDERS`` of them are a literal filter, more are joined.
+    """
+    touched = batch.select(*[F.col(f"`{c}`").alias(c) for c in partition_cols]).distinct()
+    folders = touched.limit(MOST_FOLDERS + 1).collect()
+    if len(folders) > MOST_FOLDERS:
+        return current.join(touched, equal(current, touched, partition_cols), "left_semi")
+    same = [
+        reduce(lambda x, y: x & y, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in partition_cols]) for r in folders
+    ]
+    return current.filter(reduce(lambda x, y: x | y, same, F.lit(False)))
+
+
 def merge_partitions(
     spark: SparkSession, path: str, batch: DataFrame, keys: list[str], partition_cols: list[str],
     order: str | None = None,
@@ -112,16 +127,7 @@ def merge_partitions(
     if current is None:
         merged = batch if order is None else latest_per_key(batch, keys, order)
     else:
-        touched = batch.select(*[F.col(f"`{c}`").alias(c) for c in partition_cols]).distinct()
-        folders = touched.limit(MOST_FOLDERS + 1).collect()
-        if len(folders) <= MOST_FOLDERS:
-            same = [
-                reduce(lambda x, y: x & y, [F.col(f"`{c}`").eqNullSafe(F.lit(r[c])) for c in partition_cols])
-                for r in folders
-            ]
-            current = current.filter(reduce(lambda x, y: x | y, same, F.lit(False)))
-        else:
-            current = current.join(touched, _equal(current, touched, partition_cols), "left_semi")
+        current = of_partitions(current, batch, partition_cols)
         if order is None:
             merged = keyed_merge(current, batch, keys)
         else:

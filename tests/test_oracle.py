@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import differences, duck
 from panelwright.plans import given_tables
-from panelwright.plans.oracle import ORACLE
-from panelwright.plans.queries import QUERIES
+from panelwright.plans.catalog import ORACLE, QUERIES
 from plan_text import executed
 
 SF = "/root/testdata/sf0.001"
