@@ -248,7 +248,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _built(shards: DataFrame) -> DataFrame:
+def _built(shards: DataFrame, tasks: int) -> DataFrame:
     """One row per shard: its vectors, the ids of each class, its levels and flat neighbour arrays."""
     fields = f"dim int, shard int, {_GRAPH}"
     schema = to_arrow_schema(StructType.fromDDL(fields))
@@ -264,10 +264,11 @@ def _built(shards: DataFrame) -> DataFrame:
         }
         return pa.Table.from_pylist([row], schema=schema)
 
-    return shards.groupBy("dim", "shard").applyInArrow(build, fields)
+    # A given number of partitions: graphs take long to build, however few bytes they are made of.
+    return shards.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(build, fields)
 
 
-def _searched(graphs: DataFrame, queries: DataFrame, most: int, element: str) -> DataFrame:
+def _searched(graphs: DataFrame, queries: DataFrame, most: int, element: str, tasks: int) -> DataFrame:
     """(query class, id, score): the best ids of each shard for each query vector."""
     fields = "key struct<id:bigint,hash:bigint>, id long, score double"
     schema = to_arrow_schema(StructType.fromDDL(fields))
@@ -299,7 +300,8 @@ def _searched(graphs: DataFrame, queries: DataFrame, most: int, element: str) ->
         )
 
     keys = ("dim", "shard", "block")
-    return graphs.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(search, fields)
+    left, right = (side.repartition(tasks, *keys).groupBy(*keys) for side in (graphs, queries))
+    return left.cogroup(right).applyInArrow(search, fields)
 
 
 def nearest(
@@ -324,9 +326,10 @@ def nearest(
         .select("vector", "ids", F.xxhash64("vector").alias("hash"), F.size("vector").alias("dim")), "vector-classes",
     )
     sizes = classes.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
+    shards = sizes.agg(F.coalesce(F.sum("shards"), F.lit(1))).first()[0]
     shard = F.pmod(F.xxhash64("hash", F.col("ids")[0]), F.col("shards")).cast("int").alias("shard")
     graphs = stored(
-        _built(classes.join(sizes, "dim").select("dim", shard, "vector", "ids", "hash")), "shard-graphs"
+        _built(classes.join(sizes, "dim").select("dim", shard, "vector", "ids", "hash"), shards), "shard-graphs"
     )
 
     asked = rows.where("asked").withColumn("hash", F.xxhash64("vector"))
@@ -340,7 +343,7 @@ def nearest(
         "dim", every, F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int").alias("block"), "key", "vector"
     )
     held = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = _searched(held, sent, k + 1, element)
+    found = _searched(held, sent, k + 1, element, shards * blocks)
     best = Window.partitionBy("key").orderBy(F.col("score").desc(), "id")
     entries = (
         found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
