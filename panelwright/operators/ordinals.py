@@ -28,5 +28,5 @@ def positions(df: DataFrame, order: list[Column], name: str = "position", partit
         shifts.append(total - (k << _PART_BITS))
         total += sizes.get(k, 0)
     # One constant that is parsed once, however many partitions there are.
-    shift = F.split(F.lit(",".join(map(str, shifts))), ",").cast("array<bigint>")[part]
+    shift = F.split(F.lit(",".join(map(str, shifts or [0]))), ",").cast("array<bigint>")[part]
     return table.withColumn(name, F.col("_at") + shift).drop("_at")

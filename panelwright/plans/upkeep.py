@@ -4,12 +4,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright import contract
-from panelwright.operators import sinks
+from panelwright.operators import bitmaps, sinks
 from panelwright.operators.maintained import MaintainedIndex
 from panelwright.plans import gold
 from panelwright.plans.given_tables import KEYS, table
 from panelwright.plans.queries import INDICES, rounded, stored_customer_panel
-from panelwright.session import fresh_path
+from panelwright.session import fresh_path, stored
 from panelwright.sources import files
 from panelwright.streaming import event_time
 from panelwright.streaming import landing as stream
@@ -79,7 +79,40 @@ def maintained_index(spark, sf_dir):
     return rounded(kept.scores().select(*KEYS, *INDICES, contract.SCORE), 6)
 
 
+# ---- distinct counts that merge
+
+
+def buyer_bitmaps(spark, sf_dir) -> DataFrame:
+    """Customers per order status and day, stored; two parts of the orders, united."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderstatus", F.unix_date(F.col("o_orderdate").cast("date")).alias("day"), "o_custkey",
+        F.month("o_orderdate").alias("month"))
+    halves = [bitmaps.id_bitmaps(orders.where(m), ["o_orderstatus", "day"], F.col("o_custkey")) for m in ("month <= 6", "month > 6")]
+    return stored(halves[0].unionByName(halves[1]), "bitmaps")
+
+
+def distinct_over_days(spark, sf_dir):
+    """Distinct customers per status, from daily bitmaps: per day, in the 30 days up to it, and of all days."""
+    daily = buyer_bitmaps(spark, sf_dir)
+    day = bitmaps.distinct_counts(daily, ["o_orderstatus", "day"], "of_day")
+    month = bitmaps.trailing_counts(daily, ["o_orderstatus"], "day", 30, "of_30_days")
+    whole = bitmaps.distinct_counts(daily, ["o_orderstatus"], "of_all")
+    return day.join(month, ["o_orderstatus", "day"]).join(whole, "o_orderstatus")
+
+
+def distinct_texts_over_turns(spark, sf_dir):
+    """Members that are texts: first words of conversation turns, numbered, per role over the turns up to each."""
+    words = table(spark, sf_dir, "conversations").select(
+        "role", "turn", F.lower(F.regexp_extract("text", r"^\S+", 0)).alias("word")).where("word <> ''")
+    words = stored(words, "words")
+    known = bitmaps.with_numbers(words, bitmaps.numbered(words, "word"), "word")
+    by_turn = bitmaps.id_bitmaps(known, ["role", "turn"], F.col("number"))
+    return bitmaps.trailing_counts(by_turn, ["role"], "turn", 3, "n_words")
+
+
 UPKEEP = {
+    "distinct_over_days": distinct_over_days,
+    "distinct_texts_over_turns": distinct_texts_over_turns,
     "maintained_index": maintained_index,
     "late_events": late_events,
     "late_event_counts": late_event_counts,

@@ -13,6 +13,20 @@ _CHANGED_PANEL = (
 )
 
 UPKEEP_SQL = {
+    "distinct_over_days": """
+        WITH o AS (SELECT o_orderstatus, CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS day, o_custkey FROM orders),
+        days AS (SELECT o_orderstatus, day, count(DISTINCT o_custkey) AS of_day FROM o GROUP BY 1, 2),
+        months AS (
+          SELECT days.o_orderstatus, days.day, count(DISTINCT o.o_custkey) AS of_30_days
+          FROM days JOIN o ON o.o_orderstatus = days.o_orderstatus AND o.day BETWEEN days.day - 29 AND days.day GROUP BY 1, 2)
+        SELECT o_orderstatus, day::INTEGER AS day, of_day, of_30_days, of_all
+        FROM days JOIN months USING (o_orderstatus, day)
+        JOIN (SELECT o_orderstatus, count(DISTINCT o_custkey) AS of_all FROM o GROUP BY 1) USING (o_orderstatus)""",
+    "distinct_texts_over_turns": """
+        WITH w AS (SELECT role, turn, lower(regexp_extract(text, '^\\S+')) AS word FROM conversations),
+        ends AS (SELECT DISTINCT role, turn FROM w WHERE word <> '')
+        SELECT ends.role, ends.turn, count(DISTINCT word) AS n_words
+        FROM ends JOIN w ON w.role = ends.role AND w.turn BETWEEN ends.turn - 2 AND ends.turn AND word <> '' GROUP BY 1, 2""",
     "maintained_index": f"""{_CHANGED_PANEL}{RATIOS}{SCALED}{INDEX}
         SELECT entity, year, {_rounded([*_INDICES, contract.SCORE], 6)} FROM scored""",
 }
