@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 
 from panelwright import contract
 from panelwright.operators import bitmaps, sinks
+from panelwright.operators.flatten import flatten_indicator
 from panelwright.operators.maintained import MaintainedIndex
 from panelwright.plans import gold
 from panelwright.plans.given_tables import KEYS, table
-from panelwright.plans.queries import INDICES, rounded, stored_customer_panel
+from panelwright.plans.queries import INDICES, raw_indicators, rounded, stored_customer_panel
 from panelwright.session import fresh_path, stored
-from panelwright.sources import files
+from panelwright.sources import files, schemas, split_arrays
 from panelwright.streaming import event_time
 from panelwright.streaming import landing as stream
 
@@ -110,7 +111,30 @@ def distinct_texts_over_turns(spark, sf_dir):
     return bitmaps.trailing_counts(by_turn, ["role"], "turn", 3, "n_words")
 
 
+# ---- raw layouts
+
+
+def one_array_file(spark, sf_dir) -> str:
+    """All indicator records as a single JSON array in a single file, so written by one task."""
+    path = fresh_path(spark, "one-array")
+    lines = raw_indicators(spark, sf_dir, ("event_id",))
+    record = F.to_json(F.struct(*[c for c in lines.columns if c != "event_id"]))
+    rows = lines.select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("n"), record.alias("value"))
+    frame = spark.createDataFrame([(0, 0, "[{}"), (2, 0, "]")], "part INT, n LONG, value STRING")
+    comma = F.when(F.col("part") == 1, F.concat(F.lit(" ,"), F.col("value"))).otherwise(F.col("value"))
+    ordered = rows.union(frame).coalesce(1).sortWithinPartitions("part", "n")
+    ordered.select(comma.alias("value")).write.option("lineSep", "\n").text(path)
+    return path
+
+
+def split_array_file(spark, sf_dir):
+    """One large array file, read by many tasks: the records of ``flatten_indicator``."""
+    raw = split_arrays.read_split_array(spark, one_array_file(spark, sf_dir), schemas.INDICATOR)
+    return flatten_indicator(raw.where("date IS NOT NULL"), "population").withColumnRenamed(contract.ISO, "iso")
+
+
 UPKEEP = {
+    "split_array_file": split_array_file,
     "distinct_over_days": distinct_over_days,
     "distinct_texts_over_turns": distinct_texts_over_turns,
     "maintained_index": maintained_index,

@@ -1,7 +1,7 @@
 """SQL for the queries of ``upkeep``: name -> DuckDB SQL."""
 
 from panelwright import contract
-from panelwright.plans.oracle import CUSTOMER_PANEL, INDEX, MEASURES, RATIOS, SCALED, _INDICES, _rounded
+from panelwright.plans.oracle import CUSTOMER_PANEL, INDEX, MEASURES, ORACLE, RATIOS, SCALED, _INDICES, _rounded
 
 _CHANGED = {
     "researchers_count": "CASE WHEN entity % 10 = 1 AND year % 2 = 0 THEN NULL ELSE researchers_count END",
@@ -13,6 +13,7 @@ _CHANGED_PANEL = (
 )
 
 UPKEEP_SQL = {
+    "split_array_file": ORACLE["flatten_indicator"],
     "distinct_over_days": """
         WITH o AS (SELECT o_orderstatus, CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS day, o_custkey FROM orders),
         days AS (SELECT o_orderstatus, day, count(DISTINCT o_custkey) AS of_day FROM o GROUP BY 1, 2),
