@@ -88,13 +88,17 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-_NONE = "array<struct<start:bigint,end:bigint,match:string>>"
+_NONE = "array<struct<start:bigint,end:bigint>>"
 
 
 def base_spans(text: Column, kind: str) -> Column:
-    """Array of (start, end, match) of a base kind; matches that fail their check are dropped."""
+    """Array of (start, end) of a base kind; matches that fail their check are dropped.
+
+    What was matched stays in its row: only places are given on, and stored.
+    """
     found = F.filter(spans(text, PATTERNS[kind]), lambda s: _valid(kind, s["match"]))
-    return F.when(text.rlike(GATES[kind]), found).otherwise(F.array().cast(_NONE))
+    places = F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return F.when(text.rlike(GATES[kind]), places).otherwise(F.array().cast(_NONE)).cast(_NONE)
 
 
 def _share(part: Column, value: Column) -> Column:

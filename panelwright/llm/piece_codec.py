@@ -6,9 +6,10 @@ merges that the scores of a BPE model imply, and the byte fallback. Parity with
 SentencePiece library is verified before anything is encoded.
 
 Where no piece has the marker behind another character, no piece crosses the start of a
-marked word, so a text is encoded and decoded word by word. A task remembers the ids of
-words it has met, in a table of bounded size; words that are new in a batch are encoded
-together, by several threads.
+marked word, so a text is encoded and decoded word by word. A task remembers the words it
+has met with their ids and what these decode to, in two tables of bounded size: when the
+younger one is full it becomes the older one, from which words in use come back. Words that
+are new in a batch are encoded, and their ids decoded, together, by several threads.
 
 Defined results: a null text has null ids and decodes to null; an empty text has no ids
 and decodes to an empty text. Repeated rows are encoded row by row. Other columns are kept;
@@ -76,7 +77,9 @@ class Model:
         usable = [p.piece for p in pieces if p.type == NORMAL]
         self.by_word = not any(MARKER in p.lstrip(MARKER) for p in usable)
         self.starts = np.array([p.type == NORMAL and p.piece.startswith(MARKER) for p in pieces])
-        self.encoded: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {}  # of words, by ``_key``
+        self.texts: dict[str, str] = {}  # what these ids decode to
+        self.older: tuple[dict[str, bytes], dict[str, str]] = {}, {}
         self.decoded: dict[bytes, str] = {}
 
     def prepared(self, text: str) -> str:
@@ -88,19 +91,34 @@ class Model:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as 32-bit numbers."""
+        return self.coded(texts)[0]
+
+    def coded(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
+        """Ids of each text, as 32-bit numbers, and the text that decoding them gives."""
         prepared = [self.prepared(t) for t in texts]
         if not self.by_word:
-            return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(prepared, add_special_tokens=False)]
-        words = [_WORDS.findall(t) for t in prepared]
-        known = self.encoded
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        new = list(set(chain.from_iterable(words)).difference(known))
+            ids = [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(prepared, add_special_tokens=False)]
+            return ids, self.decode(ids)
+        keys = [_keys(t) for t in prepared]
+        if len(self.ids) > CACHED_WORDS:
+            self.older, self.ids, self.texts = (self.ids, self.texts), {}, {}
+        ids, decoded = self.ids, self.texts
+        new = set(chain.from_iterable(keys)).difference(ids)
+        back = new.intersection(self.older[0])
+        ids.update((k, self.older[0][k]) for k in back)
+        decoded.update((k, self.older[1][k]) for k in back)
+        new = list(new - back)
         for at in range(0, len(new), CALL_WORDS):
             call = new[at: at + CALL_WORDS]
-            for word, found in zip(call, self.tokenizer.encode_batch_fast(call, add_special_tokens=False)):
-                known[word] = _packed(found.ids)
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+            words = [k[1:] if k.startswith(MARKER) else MARKER + k for k in call]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            ids.update(zip(call, map(_packed, found)))
+            decoded.update(zip(call, self.tokenizer.decode_batch(found, skip_special_tokens=False)))
+        packed = [b"".join(map(ids.__getitem__, ks)) for ks in keys]
+        return packed, [self._unprefixed("".join(map(decoded.__getitem__, ks))) for ks in keys]
+
+    def _unprefixed(self, text: str) -> str:
+        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
     def decode(self, ids: list[bytes]) -> list[str]:
         """The texts of packed ids."""
@@ -113,8 +131,7 @@ class Model:
             call = new[at: at + CALL_WORDS]
             lists = [array("i", p).tolist() for p in call]
             known.update(zip(call, self.tokenizer.decode_batch(lists, skip_special_tokens=False)))
-        texts = ["".join(map(known.__getitem__, ps)) for ps in parts]
-        return [t[1:] if self.dummy_prefix and t.startswith(" ") else t for t in texts]
+        return [self._unprefixed("".join(map(known.__getitem__, ps))) for ps in parts]
 
     def _words_of(self, ids: bytes) -> list[bytes]:
         """The ids cut before each piece that starts a marked word."""
@@ -128,6 +145,19 @@ class Model:
         return head + [ids[a:b] for a, b in zip(firsts, ends)]
 
 
+def _keys(text: str) -> list[str]:
+    """The words of a prepared text; a marker in front is left out of a word that has just one.
+
+    A word that has none or several gets one more instead, so that no two words share a key.
+    """
+    words = text.split(MARKER)
+    if not words[0] and "" not in words[1:]:
+        return words[1:]
+    return [
+        w[1:] if w.startswith(MARKER) and w[1:2] not in ("", MARKER) else MARKER + w for w in _WORDS.findall(text)
+    ]
+
+
 def _pattern(regex: str):
     from tokenizers import Regex
 
@@ -194,8 +224,8 @@ def encoded(
 
         def step(texts):
             given = [t.decode(errors="replace") for t in texts if t is not None]
-            ids = rebuilt.encode(given)
-            same = iter([a == b for a, b in zip(rebuilt.decode(ids), given)])
+            ids, back = rebuilt.coded(given)
+            same = iter([a == b for a, b in zip(back, given)])
             ids = iter(ids)
             return [
                 [None if t is None else np.frombuffer(next(ids), dtype="i4") for t in texts],

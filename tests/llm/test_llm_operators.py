@@ -322,6 +322,20 @@ def test_labels_of_one_class_or_none(labelled, labels, share):
     assert len(scores) == 1 and (share is None or scores == {share})
 
 
+def test_coded_texts_equal_decoding_the_ids_again(given, rows, monkeypatch):
+    texts = [t for _, t in [*given, *rows] if t is not None] + list(piece_codec.PROBES) + ["▁▁ a ▁b", "x ▁", "▁x▁▁y"]
+    plain = piece_codec.Model(sentencepiece_model())
+    expected = plain.coded(texts)
+    assert expected[1] == plain.decode(expected[0])
+    original = SentencePieceProcessor(model_proto=sentencepiece_model())
+    assert [np.frombuffer(i, dtype="i4").tolist() for i in expected[0]] == original.encode(texts)
+    monkeypatch.setattr(piece_codec, "CACHED_WORDS", 40)  # tables change generations all the time
+    small = piece_codec.Model(sentencepiece_model())
+    for at in range(0, len(texts), 7):
+        assert small.coded(texts[at: at + 7]) == (expected[0][at: at + 7], expected[1][at: at + 7])
+        assert set(small.ids) == set(small.texts)
+
+
 # ---- near-duplicates
 
 def test_components(docs, rows, none):
