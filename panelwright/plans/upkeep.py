@@ -4,14 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright import contract
-from panelwright.operators import bitmaps, sinks
+from panelwright.operators import bitmaps, dependencies, sinks
 from panelwright.operators.flatten import flatten_indicator
 from panelwright.operators.maintained import MaintainedIndex
 from panelwright.plans import gold
 from panelwright.plans.given_tables import KEYS, table
 from panelwright.plans.queries import INDICES, raw_indicators, rounded, stored_customer_panel
 from panelwright.session import fresh_path, stored
-from panelwright.sources import files, schemas, split_arrays
+from panelwright.sources import files, schemas, shapes, split_arrays
 from panelwright.streaming import event_time
 from panelwright.streaming import landing as stream
 
@@ -133,7 +133,67 @@ def split_array_file(spark, sf_dir):
     return flatten_indicator(raw.where("date IS NOT NULL"), "population").withColumnRenamed(contract.ISO, "iso")
 
 
+def mixed_pages(spark, sf_dir) -> DataFrame:
+    """Orders and conversation turns as pages of six shapes; names and types of fields differ between them."""
+    k = F.col("o_orderkey")
+    first = F.to_json(F.struct(k.alias("id"), F.col("o_totalprice").alias("total"), F.col("o_orderstatus").alias("state")))
+    other = F.to_json(F.struct(
+        k.cast("string").alias("orderKey"), F.col("o_totalprice").cast("string").alias("amount"),
+        F.struct(F.col("o_orderstatus").alias("code")).alias("status")))
+    page = (
+        F.when(k % 6 == 0, F.format_string('[{"page": 1}, [%s, %s]]', first, other))
+        .when(k % 6 == 1, F.format_string('{"data": [%s]}', other))
+        .when(k % 6 == 2, F.format_string("[%s, %s]", other, first))
+        .when(k % 6 == 3, first).when(k % 6 == 4, F.format_string('{"page": {"n": 1}, "results": [%s, 5]}', first))
+        .otherwise(F.concat(F.lit("<html>"), first))
+    )
+    orders = table(spark, sf_dir, "orders").select(F.lit("orders").alias("dataset"), k.alias("n"), page.alias("page"))
+    turn = F.to_json(F.struct(F.col("turn").alias("id"), F.length("text").alias("total"), F.col("role").alias("state")))
+    turns = table(spark, sf_dir, "conversations").select(
+        F.lit("turns").alias("dataset"), F.col("conv_id").alias("n"), F.format_string('{"items": [%s]}', turn).alias("page"))
+    return orders.unionByName(turns)
+
+
+def variant_records(spark, sf_dir):
+    """Records out of pages of any shape, with fields under whatever name and type they came."""
+    records = shapes.records_of_any_page(mixed_pages(spark, sf_dir), "page", keep=("dataset", "n"))
+    return records.select(
+        "dataset", "n", shapes.field("record", ["$.id", "$.orderKey"], "bigint").alias("id"),
+        shapes.field("record", ["$.total", "$.amount"], "double").alias("total"),
+        shapes.field("record", ["$.state", "$.status.code"], "string").alias("state"),
+    )
+
+
+def variant_shapes(spark, sf_dir):
+    """What the pages of each dataset looked like: how many could not be read, and the fields of the records."""
+    pages = mixed_pages(spark, sf_dir)
+    records = shapes.records_of_any_page(pages, "page", keep=("dataset",))
+    bad = shapes.unreadable_pages(pages, "page").groupBy("dataset").agg(F.count("*").alias("n_unreadable"))
+    shape = shapes.observed_shape(records, "record", ["dataset"])
+    # How wide the decimals are depends on the values.
+    plain = F.regexp_replace("shape", r"DECIMAL\(\d+,\d+\)", "DECIMAL").alias("shape")
+    return shape.join(bad, "dataset", "left").select(
+        "dataset", F.coalesce("n_unreadable", F.lit(0)).alias("n_unreadable"), plain)
+
+
+# ---- models and what they need
+
+
+def build_status(spark, sf_dir):
+    """Customers as models: each needs the one with half its number; some fail, stand in circles or need what is not there."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("model"), "c_acctbal")
+    m = F.col("model")
+    needs = F.array_compact(F.array(
+        F.when(m > 1, F.floor(m / 2)), F.when(m % 50 == 27, 2 * m), F.when(m % 97 == 61, -m)))
+    edges = customers.select("model", F.explode(needs).alias("needs"))
+    # The circle's other half may be above the last number: then it is an input that is missing.
+    return dependencies.build_status(customers, edges, customers.where("c_acctbal < -900 AND model > 16"))
+
+
 UPKEEP = {
+    "variant_records": variant_records,
+    "variant_shapes": variant_shapes,
+    "build_status": build_status,
     "split_array_file": split_array_file,
     "distinct_over_days": distinct_over_days,
     "distinct_texts_over_turns": distinct_texts_over_turns,

@@ -12,7 +12,53 @@ _CHANGED_PANEL = (
     + ", ".join(f"{_CHANGED.get(m, m)} AS {m}" for m in MEASURES) + " FROM given)"
 )
 
+_RECORDS = """
+    WITH o AS (
+      SELECT o_orderkey AS n, o_totalprice, o_orderstatus,
+        CASE o_orderkey % 6 WHEN 0 THEN 2 WHEN 2 THEN 2 WHEN 5 THEN 0 ELSE 1 END AS copies FROM orders)
+    SELECT 'orders' AS dataset, n, n AS id, o_totalprice AS total, o_orderstatus AS state
+    FROM o, generate_series(1, copies)
+    UNION ALL
+    SELECT 'turns', conv_id, turn, CAST(length(text) AS DOUBLE), role FROM conversations"""
+
+_GRAPH = """
+    WITH RECURSIVE models AS (SELECT c_custkey AS model, c_acctbal FROM customer),
+    edges AS (
+      SELECT model, model // 2 AS needs FROM models WHERE model > 1
+      UNION SELECT model, 2 * model FROM models WHERE model % 50 = 27
+      UNION SELECT model, -model FROM models WHERE model % 97 = 61),
+    failed AS (SELECT model FROM models WHERE c_acctbal < -900 AND model > 16),
+    causes AS (
+      SELECT model AS node, model AS cause FROM failed
+      UNION SELECT needs, needs FROM edges WHERE needs NOT IN (SELECT model FROM models)
+      UNION SELECT edges.model, cause FROM causes JOIN edges ON edges.needs = causes.node),
+    blocked AS (
+      SELECT node AS model, min(cause) AS cause FROM causes WHERE node NOT IN (SELECT model FROM failed) GROUP BY 1),
+    free AS (SELECT * FROM edges WHERE model NOT IN (SELECT model FROM blocked UNION SELECT model FROM failed)),
+    reach AS (SELECT model, needs FROM free UNION SELECT reach.model, free.needs FROM reach JOIN free ON free.model = reach.needs),
+    circular AS (
+      SELECT DISTINCT model FROM reach WHERE needs IN (SELECT model FROM reach WHERE model = needs)
+      UNION SELECT model FROM reach WHERE model = needs),
+    levels AS (
+      SELECT model, 0 AS level FROM models
+      WHERE model NOT IN (SELECT model FROM edges UNION SELECT model FROM blocked UNION SELECT model FROM failed)
+      UNION
+      SELECT free.model, level + 1 FROM levels JOIN free ON free.needs = levels.model
+      WHERE free.model NOT IN (SELECT model FROM circular))
+    SELECT model,
+      CASE WHEN model IN (SELECT model FROM failed) THEN 'failed' WHEN cause IS NOT NULL THEN 'blocked'
+        WHEN model IN (SELECT model FROM circular) THEN 'circular' ELSE 'buildable' END AS status,
+      cause, level
+    FROM models LEFT JOIN blocked USING (model)
+    LEFT JOIN (SELECT model, max(level)::INTEGER AS level FROM levels GROUP BY 1) USING (model)"""
+
 UPKEEP_SQL = {
+    "variant_records": _RECORDS,
+    "variant_shapes": """
+        SELECT 'orders' AS dataset, count(*) FILTER (WHERE o_orderkey % 6 = 5) AS n_unreadable, 'OBJECT<amount: STRING, id: BIGINT, '
+          || 'orderKey: STRING, state: STRING, status: OBJECT<code: STRING>, total: DECIMAL>' AS shape FROM orders
+        UNION ALL SELECT 'turns', 0, 'OBJECT<id: BIGINT, state: STRING, total: BIGINT>'""",
+    "build_status": _GRAPH,
     "split_array_file": ORACLE["flatten_indicator"],
     "distinct_over_days": """
         WITH o AS (SELECT o_orderstatus, CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS day, o_custkey FROM orders),
