@@ -8,10 +8,11 @@ similarity, and sketches of a union are the larger exponents.
 1. Documents with equal sets are one class, found by a digest of the set; from here on
    only one document of each class takes part, so copies cost nothing more.
 2. Registers are banded. Members of a band bucket are compared with the bucket's smallest
-   member. Where a bucket is not one component afterwards, further members become
-   centres, twice as many in each round and all of them in the last, but only for pairs
-   that are still in different components and not compared yet.
-3. A pair goes on if its sizes allow the threshold, and if the likelihood of its joint
+   member and, where the bucket is not one component afterwards, with a second one. What is
+   still apart then and has enough shingles in common with others is compared as a whole, in
+   blocks of the bucket: two blocks are a product of two incidence matrices in one task, and
+   of their links as many are kept as connect them. No pair is a row of its own there.
+3. A pair with a centre goes on if its sizes allow the threshold, and if the likelihood of its joint
    register counts does not rule it out. What is left is compared on full sets.
 4. Components come from star contraction; each document gets the smallest id it reaches.
 
@@ -25,12 +26,13 @@ id and a text are alike. Other columns are kept by ``drop_near_duplicates``; nam
 begin with ``__`` are reserved.
 """
 
-import math
-
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from panelwright.llm.texts import map_texts, typed
 from panelwright.session import stored
@@ -43,7 +45,7 @@ BASE, RATE, TOP = 1.001, 20.0, 65534  # of SetSketch: b, a and q
 UNLIKELY = 12.5  # log-likelihood lost at the threshold that rules a pair out
 CACHED_WORDS = 300_000
 CHUNK = 2048
-PAIRS = 16  # per member of an open bucket and round, on average
+BLOCK = 512  # members of a bucket that a task compares with as many others, on average
 
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -198,22 +200,28 @@ class _Members:
         return stored(_linked(likely.join(left, "a").join(right, "b")), "near-links")
 
     def able(self, opened: DataFrame) -> DataFrame:
-        """The rows (band, rep, label) that can still have a link, with n and shared.
+        """The rows (band, rep, label) that can still have a link, with n and shingles.
 
-        ``shared`` counts the shingles of a member that members of other components have.
-        Two sets of n and m shingles need THRESHOLD / (100 + THRESHOLD) of n + m in common,
-        and the smallest member of a bucket bounds m.
+        ``shingles`` are those of a member that members of other components have too. Two sets of
+        n and m shingles need THRESHOLD / (100 + THRESHOLD) of n + m in common, and the smallest
+        member of a bucket bounds m.
         """
         members = opened.select("rep", "label").distinct()
         sets = _shingle_rows(self.texts.join(members, F.col("id") == F.col("rep")).select("rep", "text", "label"))
         spread = sets.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        shared = sets.join(spread, "shingle", "left_semi").groupBy("rep").agg(F.count("*").alias("shared"))
-        rows = opened.join(self.sides.select("rep", "n"), "rep").join(shared, "rep")
+        shared = stored(
+            sets.join(spread, "shingle", "left_semi").groupBy("rep").agg(F.collect_list("shingle").alias("shingles")),
+            "near-shared",
+        )  # a row per member, no longer than its text
+        rows = opened.join(self.sides.select("rep", "n"), "rep").join(
+            shared.select("rep", F.size("shingles").alias("shared")), "rep"
+        )
         smallest = rows.groupBy("band").agg(F.min("n").alias("least"))
         other = F.greatest(F.col("least"), F.col("n") * THRESHOLD / 100)
-        return rows.join(smallest, "band").where(
+        able = rows.join(smallest, "band").where(
             (100 + THRESHOLD) * F.col("shared") >= THRESHOLD * (F.col("n") + other)
-        ).drop("least")
+        ).drop("least", "shared")
+        return _in_several(able).join(shared, "rep")
 
 
 def _shingle_rows(members: DataFrame) -> DataFrame:
@@ -299,49 +307,112 @@ def _class_labels(df: DataFrame, classes: DataFrame, id_col: str, text_col: str)
     both = members.select("rep").union(members.select("center")).distinct()
     sets = _Members(df, classes, both, id_col, text_col)
     pairs = stored(members.select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct(), "near-candidates")
-    compared = [pairs]
     labels = stored(components(sets.confirmed(pairs)), "near-labels")
     # Buckets of two are settled; in larger ones members may link with each other only.
-    rest, share = members.where("size > 2").select("band", "rep"), None
-    while share != 1:
-        named = rest.join(labels, rest["rep"] == labels["id"], "left").select(
-            "band", "rep", F.coalesce("label", "rep").alias("label")
-        )
-        opened = stored(_in_several(named), "open-buckets")
-        if opened.isEmpty():
-            break
-        opened = stored(_in_several(sets.able(opened)), "open-buckets")
-        sizes = opened.groupBy("band").agg(F.count("*").cast("double").alias("n"))
-        every, squares = sizes.agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
-        if not every:
-            break
-        # So many centres that a round makes a bounded number of pairs per member, all of them in the end.
-        wanted = 1 << max(0, math.ceil(math.log2(squares / (PAIRS * every))))
-        share = wanted if share is None else min(wanted, share // 2)
-        rest = opened.select("band", "rep")
-        centers = opened.where(F.pmod(F.xxhash64("rep"), F.lit(share)) == 0).select(
-            "band", *[F.col(c).alias(f"c_{c}") for c in ("rep", "label", "n", "shared")]
-        )
-        enough = (100 + THRESHOLD) * F.least("shared", "c_shared") >= THRESHOLD * (F.col("n") + F.col("c_n"))
-        pairs = (
-            opened.join(centers, "band").where((F.col("label") != F.col("c_label")) & enough)
-            .select(F.greatest("rep", "c_rep").alias("a"), F.least("rep", "c_rep").alias("b")).distinct()
-        )
-        for before in compared:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-candidates")
-        compared.append(pairs)
-        found = sets.confirmed(pairs)
-        if not found.isEmpty():
-            # Labels stand for what is linked already: the new links connect them.
-            links = (
-                found.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
-                .join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
-                .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-            )
-            stars = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
-            labels = stored(components(links.union(stars)), "near-labels")
-    return labels
+    rest = stored(_opened(members.where("size > 2").select("band", "rep"), labels), "open-buckets")
+    if rest.isEmpty():
+        return labels
+    # A second centre for buckets whose smallest member is unlike the others.
+    second = rest.groupBy("band").agg(F.max(F.struct(F.xxhash64("rep", "band"), "rep", "label")).alias("c"))
+    pairs = rest.join(second, "band").where("label <> c.label").select(
+        F.greatest("rep", "c.rep").alias("a"), F.least("rep", "c.rep").alias("b")
+    )
+    labels = _relabelled(labels, sets.confirmed(stored(pairs.distinct(), "near-candidates")))
+    rest = stored(_opened(rest.select("band", "rep"), labels), "open-buckets")
+    if rest.isEmpty():
+        return labels
+    return _relabelled(labels, stored(_bucket_links(sets.able(rest)), "near-links"))
+
+
+def _opened(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, rep, label) of buckets that are not one component yet."""
+    return _in_several(rows.join(labels, F.col("rep") == F.col("id"), "left").select(
+        "band", "rep", F.coalesce("label", "rep").alias("label")
+    ))
+
+
+def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after the found links; the old labels stand for what was linked already."""
+    if found.isEmpty():
+        return labels
+    links = (
+        found.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
+        .join(labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", "left")
+        .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    )
+    stars = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+    return stored(components(links.union(stars)), "near-labels")
+
+
+def _bucket_links(rows: DataFrame) -> DataFrame:
+    """Links (a, b) that join components of the same bucket, as many as it takes to connect them.
+
+    ``rows`` has (band, rep, label, n, shingles). Buckets with the same members are compared
+    once. Members are dealt into blocks of about ``BLOCK``; a task compares two blocks, or one
+    with itself, by products of their incidence matrices, so that pairs never become rows.
+    """
+    marks = [F.sum(F.xxhash64(F.lit(seed), "rep").cast("decimal(38,0)")).alias(f"mark_{seed}") for seed in (1, 2)]
+    buckets = rows.groupBy("band").agg(F.count("*").alias("size"), *marks)
+    once = buckets.groupBy("size", "mark_1", "mark_2").agg(F.min("band").alias("band")).select(
+        "band", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")
+    )
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = rows.join(once, "band").withColumn("block", block).withColumn("other", other).select(
+        "band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "label",
+        "n", "shingles",
+    )
+    fields = "a long, b long"
+    schema = to_arrow_schema(StructType.fromDDL(fields))
+
+    def compare(table: pa.Table) -> pa.Table:
+        block, rep, label, n = (table.column(c).to_numpy() for c in ("block", "rep", "label", "n"))
+        shingles = table.column("shingles").combine_chunks()
+        common = common_counts(shingles.flatten().to_numpy(), np.diff(shingles.offsets.to_numpy()))
+        linked = (100 + THRESHOLD) * common >= THRESHOLD * (n[:, None] + n[None, :])
+        linked &= label[:, None] != label[None, :]
+        if block.min() != block.max():
+            linked &= block[:, None] != block[None, :]
+        a, b = forest(linked)
+        return pa.Table.from_arrays([pa.array(rep[a], pa.int64()), pa.array(rep[b], pa.int64())], schema=schema)
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(compare, fields)
+
+
+def common_counts(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many values each two of the rows have in common; row k has the next ``sizes[k]`` of the values."""
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    _, columns, counts = np.unique(values, return_inverse=True, return_counts=True)
+    several = counts[columns] > 1
+    rows, columns = rows[several], columns[several]
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    _, columns = np.unique(columns, return_inverse=True)
+    common = np.zeros((len(sizes), len(sizes)), dtype=np.float32)  # exact below 2^24
+    for at in range(0, int(columns.max(initial=-1)) + 1, CHUNK):
+        own = slice(*np.searchsorted(columns, [at, at + CHUNK]))
+        part = np.zeros((len(sizes), CHUNK), dtype=np.float32)
+        part[rows[own], columns[own] - at] = 1
+        common += part @ part.T
+    return common.astype(np.int64)
+
+
+def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of links that connect what the symmetric matrix connects, without circles."""
+    free, ends = np.ones(len(linked), dtype=bool), ([], [])
+    for root in range(len(linked)):
+        if not free[root]:
+            continue
+        free[root] = False
+        front = [root]
+        while front:
+            node = front.pop()
+            near = np.flatnonzero(linked[node] & free)
+            free[near] = False
+            front += near.tolist()
+            ends[0].extend([node] * len(near))
+            ends[1].extend(near.tolist())
+    return np.array(ends[0], dtype=np.int64), np.array(ends[1], dtype=np.int64)
 
 
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

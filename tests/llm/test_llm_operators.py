@@ -356,6 +356,50 @@ def test_members_that_link_with_each_other_only(spark):
     same(found.collect(), brute.near_duplicates(rows))
 
 
+def near_copies(n, seed, share=0.077, length=150):
+    """Copies of one text, each with its own few words replaced: similar to it, on the edge to one another."""
+    rng = np.random.default_rng(seed)
+    base = [f"v{k}" for k in range(length)]
+    rows = [(0, "quite another text that shares no words with them")]
+    for k in range(1, n):
+        words = list(base)
+        for at in rng.choice(length, int(share * length / 5 * 2), replace=False):
+            words[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [512, 30])
+def test_copies_on_the_edge_are_compared_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(near_duplicates, "BLOCK", block)
+    pairs, groups = [], []
+    confirmed, bucket_links = near_duplicates._Members.confirmed, near_duplicates._bucket_links
+    monkeypatch.setattr(
+        near_duplicates._Members, "confirmed", lambda self, p: pairs.append(p.count()) or confirmed(self, p))
+    monkeypatch.setattr(near_duplicates, "_bucket_links", lambda rows: groups.append(rows.count()) or bucket_links(rows))
+    for share in (0.077, 0.2):
+        rows = near_copies(250, 5, share)
+        found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id LONG, text STRING"))
+        same(found.collect(), brute.near_duplicates(rows))
+    assert groups and sum(pairs) < 250 * 64
+
+
+def test_common_counts_and_forest():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 6000, rng.integers(0, 3000))) for _ in range(40)]
+    common = near_duplicates.common_counts(np.concatenate(sets), np.array([len(s) for s in sets]))
+    assert common.shape == (40, 40)
+    for i, j in itertools.combinations(range(40), 2):
+        assert common[i, j] == common[j, i] == len(np.intersect1d(sets[i], sets[j]))
+    assert near_duplicates.common_counts(np.array([1, 2]), np.array([1, 1, 0])).sum() == 0
+    linked = np.zeros((9, 9), dtype=bool)
+    for i, j in ((0, 1), (1, 2), (2, 0), (4, 5), (7, 8), (8, 7)):
+        linked[i, j] = linked[j, i] = True
+    a, b = near_duplicates.forest(linked)
+    assert len(a) == 4 and {frozenset(p) for p in zip(a.tolist(), b.tolist())} <= {
+        frozenset(p) for p in ((0, 1), (1, 2), (0, 2), (4, 5), (7, 8))}
+
+
 def test_near_duplicate_query(spark, given):
     same(LLM_QUERIES["op8_near_duplicates"](spark, SF).collect(), brute.near_duplicates(given))
 
