@@ -42,6 +42,17 @@ INDICATOR_MODEL_DATASET = {
     "GRADUATE_UNEMPLOYMENT": "unemployment",
 }
 
+# The source each dataset comes from.
+DATASET_SOURCE = {
+    "population": "WORLDBANK",
+    "unemployment": "WORLDBANK",
+    "researchers": "WORLDBANK",
+    "rd": "WORLDBANK",
+    "pkb": "WORLDBANK",
+    "laureates": "NOBELPRIZE",
+    "patents": "PATENTS",
+}
+
 # Measure columns of the fact, in output order.
 MEASURES = (
     "population",

@@ -22,9 +22,10 @@ from panelwright.operators.quality import require_inputs, require_rows
 from panelwright.operators.sinks import APPEND, persist_model, table_path, write_summary, write_table
 from panelwright.plans import gold, silver
 from panelwright.sources.envelopes import raw_records
-from panelwright.sources.files import read_by_extension, read_csv, read_landed, read_table
+from panelwright.sources.files import by_layout, read_by_extension, read_csv, read_landed, read_table
+from panelwright.sources.quarantine import checked_arrays, checked_lines, set_aside
 from panelwright.sources.schemas import BY_DATASET
-from panelwright.sources.summaries import is_completed, result_rows, valid_output_paths
+from panelwright.sources.summaries import is_completed, result_rows, route_sources, valid_output_paths
 
 
 def located(path: str, root: str) -> str:
@@ -106,6 +107,11 @@ def leave_summary(
 
 def readable(paths: list[str], read: Callable[[list[str]], DataFrame]) -> DataFrame | None:
     """One scan of the paths that can be opened; None if there are none."""
+    kept = openable(paths, read)
+    return read(kept) if kept else None
+
+
+def openable(paths: list[str], read: Callable[[list[str]], DataFrame]) -> list[str]:
     kept = []
     for path in paths:  # a handful
         try:
@@ -113,31 +119,59 @@ def readable(paths: list[str], read: Callable[[list[str]], DataFrame]) -> DataFr
             kept.append(path)
         except AnalysisException as error:
             warnings.warn(f"left out {path}: {error.getCondition()}", stacklevel=2)
-    return read(kept) if kept else None
+    return kept
 
 
-def silver_sources(
+def source_routes(
     spark: SparkSession, manifest: dict, landing_summary: DataFrame, root: str
+) -> dict[str, tuple[str, list[str]]]:
+    """Origin and paths of each dataset that has any, by the one rule of ``route_sources``."""
+    keys = ["domain_source", "dataset_name"]
+    schema = ", ".join(f"{k} STRING" for k in keys)
+    required = spark.createDataFrame([(s, d) for d, s in contract.DATASET_SOURCE.items()], schema)
+    by_hand = [(p["domain_source"], p["dataset_name"], located(p["file_path"], root)) for p in manifest["manual_data_paths"]]
+    manual = spark.createDataFrame(by_hand, f"{schema}, path STRING")
+    uri = F.when(F.col("path").startswith("https://"), lake_uri(F.col("path"))).otherwise(F.col("path"))
+    landed = valid_output_paths(result_rows(landing_summary), include_skipped=True).withColumn("path", uri)
+    routes: dict[str, tuple[str, list[str]]] = {}
+    # Paths of required datasets only, each once.
+    for row in route_sources(required, manual, landed, keys).where("path IS NOT NULL").distinct().collect():
+        routes.setdefault(row["dataset_name"], (row["origin"], []))[1].append(row["path"])
+    return {name: (origin, sorted(paths)) for name, (origin, paths) in routes.items()}
+
+
+def silver_sources(
+    spark: SparkSession, manifest: dict, landing_summary: DataFrame, root: str, quarantine: str | None = None,
+    run_id: str = "",
 ) -> dict[str, DataFrame | None]:
     """Flattened frame per dataset; manual paths win over landed ones, absent ones are None.
 
-    All landed paths of a dataset are one scan. A path that cannot be read is left out with a
-    warning, and a dataset of which nothing can be read counts as absent.
+    A dataset is known by its source and its name (``contract.DATASET_SOURCE``), and
+    ``route_sources`` decides where it is read from. All landed paths of a dataset are one
+    scan. A path that cannot be read is left out with a warning, and a dataset of which nothing
+    can be read counts as absent. With ``quarantine`` landed JSON records that cannot be read
+    are set aside in that table; without it they are rows of NULLs, as in any JSON scan.
     """
-    manual = {p["dataset_name"]: located(p["file_path"], root) for p in manifest["manual_data_paths"]}
-    landed: dict[str, list[str]] = {}
-    uri = F.when(F.col("path").startswith("https://"), lake_uri(F.col("path"))).otherwise(F.col("path"))
-    results = result_rows(landing_summary)
-    files = valid_output_paths(results, include_skipped=True).withColumn("path", uri)
-    for row in files.collect():  # the paths of one run: a handful per dataset
-        landed.setdefault(row["dataset_name"], []).append(row["path"])
+    routes = source_routes(spark, manifest, landing_summary, root)
+
+    def checked(name: str, paths: list[str]) -> DataFrame:
+        scans = [
+            scan(spark, part, BY_DATASET[name]) for scan, part in zip((checked_arrays, checked_lines), by_layout(spark, paths))
+            if part
+        ]
+        both = scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
+        return set_aside(both, quarantine, run_id, name)
 
     def raw(name: str) -> DataFrame | None:
-        if name in manual:
-            return readable([manual[name]], lambda paths: read_by_extension(spark, paths[0]))
+        origin, paths = routes.get(name, (None, []))
+        if origin == "manual":
+            return readable(paths, lambda paths: read_by_extension(spark, paths[0]))
         if name == "patents":
-            return readable(landed.get(name, []), lambda paths: read_csv(spark, paths))
-        return readable(landed.get(name, []), lambda paths: read_landed(spark, paths, BY_DATASET[name]))
+            return readable(paths, lambda paths: read_csv(spark, paths))
+        kept = openable(paths, lambda paths: read_landed(spark, paths, BY_DATASET[name]))
+        if not kept:
+            return None
+        return read_landed(spark, kept, BY_DATASET[name]) if quarantine is None else checked(name, kept)
 
     flatten = {"laureates": flatten_laureates, "patents": flatten_patents}
     frames = {}
@@ -167,10 +201,14 @@ def silver_models(spark: SparkSession, country: DataFrame, sources: dict[str, Da
 
 
 def run_silver(
-    spark: SparkSession, manifest: dict, landing_summary: DataFrame, root: str, run_id: str, **writing
+    spark: SparkSession, manifest: dict, landing_summary: DataFrame, root: str, run_id: str,
+    quarantine: str | None = None, **writing
 ) -> dict:
-    """Conformed layer. The country model is cached, because every other model joins it."""
-    sources = silver_sources(spark, manifest, landing_summary, root)
+    """Conformed layer. The country model is cached, because every other model joins it.
+
+    ``quarantine`` is the place of the table for records that cannot be read.
+    """
+    sources = silver_sources(spark, manifest, landing_summary, root, quarantine, run_id)
     reference = read_by_extension(spark, located(manifest["references_tables"]["country_codes"], root))
     country = silver.country_model(
         reference, sources["population"], sources["patents"], sources["laureates"]

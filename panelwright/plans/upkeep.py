@@ -11,7 +11,7 @@ from panelwright.plans import gold
 from panelwright.plans.given_tables import KEYS, table
 from panelwright.plans.queries import INDICES, raw_indicators, rounded, stored_customer_panel
 from panelwright.session import fresh_path, stored
-from panelwright.sources import files, schemas, shapes, split_arrays
+from panelwright.sources import files, quarantine, schemas, shapes, split_arrays
 from panelwright.streaming import event_time
 from panelwright.streaming import landing as stream
 
@@ -176,6 +176,26 @@ def variant_shapes(spark, sf_dir):
         "dataset", F.coalesce("n_unreadable", F.lit(0)).alias("n_unreadable"), plain)
 
 
+EVENT = "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE"
+
+
+def bad_records(spark, sf_dir):
+    """Events as JSON lines, some torn, some of another type or no records: good rows and what was set aside."""
+    n = F.col("event_id")
+    whole = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    line = (
+        F.when(n % 40 == 0, F.substring(whole, 1, 30)).when(n % 40 == 1, F.format_string('{"event_id":%s,"value":"n/a"}', n))
+        .when(n % 40 == 2, F.format_string("[%s]", n)).when(n % 40 == 3, "").otherwise(whole)
+    )
+    path, aside = fresh_path(spark, "lines"), fresh_path(spark, "quarantine")
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    rows = quarantine.set_aside(quarantine.checked_lines(spark, path, EVENT), aside, "run-1", "events")
+    found = quarantine.quarantined(spark, aside)
+    number = F.regexp_extract("text", r"(\d+)", 1).cast("long").alias("event_id")
+    return rows.select("event_id", "event_type", "value", F.lit(None).cast("string").alias("reason")).unionByName(
+        found.select(number, "reason"), allowMissingColumns=True)
+
+
 # ---- models and what they need
 
 
@@ -191,6 +211,7 @@ def build_status(spark, sf_dir):
 
 
 UPKEEP = {
+    "bad_records": bad_records,
     "variant_records": variant_records,
     "variant_shapes": variant_shapes,
     "build_status": build_status,

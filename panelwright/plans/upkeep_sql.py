@@ -53,6 +53,11 @@ _GRAPH = """
     LEFT JOIN (SELECT model, max(level)::INTEGER AS level FROM levels GROUP BY 1) USING (model)"""
 
 UPKEEP_SQL = {
+    "bad_records": """
+        SELECT event_id, event_type, value, NULL::VARCHAR AS reason FROM events WHERE event_id % 40 > 3
+        UNION ALL
+        SELECT event_id, NULL, NULL, CASE event_id % 40 WHEN 0 THEN 'no JSON' WHEN 1 THEN 'wrong type' ELSE 'no object' END
+        FROM events WHERE event_id % 40 < 3""",
     "variant_records": _RECORDS,
     "variant_shapes": """
         SELECT 'orders' AS dataset, count(*) FILTER (WHERE o_orderkey % 6 = 5) AS n_unreadable, 'OBJECT<amount: STRING, id: BIGINT, '

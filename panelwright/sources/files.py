@@ -46,9 +46,7 @@ def read_landed(spark: SparkSession, paths: Paths, schema: Schema) -> DataFrame:
     line. The first line that is not blank decides (one short look per path, and a folder has
     one layout); names and suffixes do not.
     """
-    paths = [paths] if isinstance(paths, str) else paths
-    arrays = [p for p in paths if _first_line(spark, p).startswith("[")]
-    lines = [p for p in paths if p not in arrays]
+    arrays, lines = by_layout(spark, paths)
     scans = []
     if arrays:
         scans.append(read_json_array(spark, arrays, schema))
@@ -57,6 +55,13 @@ def read_landed(spark: SparkSession, paths: Paths, schema: Schema) -> DataFrame:
     return scans[0] if len(scans) == 1 else scans[0].unionByName(scans[1])
 
 
+def by_layout(spark: SparkSession, paths: Paths) -> tuple[list[str], list[str]]:
+    """The paths whose text begins with ``[``, and the others."""
+    paths = [paths] if isinstance(paths, str) else paths
+    arrays = [p for p in paths if _first_line(spark, p).startswith("[")]
+    return arrays, [p for p in paths if p not in arrays]
+
+
 def _first_line(spark: SparkSession, path: str) -> str:
     row = spark.read.text(path).select(F.ltrim("value").alias("line")).where("line <> ''").first()
     return "" if row is None else row["line"].lstrip("\ufeff")
