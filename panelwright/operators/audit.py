@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright import contract
@@ -29,6 +29,35 @@ def table_audit(df: DataFrame, name: str, keys: list[str], run_id: str) -> DataF
     )
 
 
+SKETCH_BITS = 14  # of a key sketch: 2^14 registers, a standard error of 0.8 %
+
+
+def write_metrics(columns: list[str], keys: list[str]) -> list[Column]:
+    """Aggregates for ``sinks.persist_model``: NULLs per column, and a sketch's count of distinct keys.
+
+    They are computed while the rows are written, so an audit reads no table again. A sketch
+    says nearly how many keys there are; ``quality.duplicate_keys`` says exactly which repeat.
+    """
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)]
+    sketch = F.hll_sketch_agg(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), SKETCH_BITS)
+    return [*nulls, F.hll_sketch_estimate(sketch).alias("key_estimate")]
+
+
+def audit_of_writes(spark: SparkSession, records: list[dict], columns: dict[str, list[str]]) -> DataFrame:
+    """One row per written model and column out of the records of ``persist_model``.
+
+    ``keys_repeat`` is True if the sketch says that there are clearly fewer keys than rows.
+    """
+    rows = []
+    for record in records:
+        found, n = record["metrics"], record["record_count"]
+        repeat = found["key_estimate"] < 0.95 * n
+        for i, column in enumerate(columns[record["model"]]):
+            rows.append((record["correlation_id"], record["model"], n, repeat, column, found[f"nulls_{i}"]))
+    schema = "run_id STRING, model STRING, row_count LONG, keys_repeat BOOLEAN, column_name STRING, null_count LONG"
+    return spark.createDataFrame(rows, schema)
+
+
 def audit_all(tables: dict[str, tuple[DataFrame, list[str]]], run_id: str) -> DataFrame:
     audits = [table_audit(df, name, keys, run_id) for name, (df, keys) in tables.items()]
     return reduce(DataFrame.unionByName, audits)

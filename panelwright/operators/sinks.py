@@ -2,10 +2,11 @@
 
 import json
 import time
+import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright import contract
@@ -114,11 +115,11 @@ def merge_partitions(
     batch. Without ``order`` the batch wins over what is stored; with it the row with the
     highest ``order`` wins, whichever came first.
 
-    The batch is evaluated once, and the new content of the partitions is complete in the
-    shared folder before the old one goes. A plain file table has no transactions, though: a
-    reader during the exchange of folders, or a driver lost in it, sees some of them
-    missing until the merge is repeated from the stored content. Table formats with
-    row-level updates have ``merge_into``.
+    The batch is evaluated once. The new content of the partitions is written once, beside the
+    table, and each folder takes its place by renaming. A plain file table has no transactions,
+    though: a reader meanwhile sees some folders new and others old, or for a moment missing,
+    and after a driver was lost in it the merge is repeated. Table formats with row-level
+    updates have ``merge_into``.
     """
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
@@ -132,7 +133,9 @@ def merge_partitions(
             merged = keyed_merge(current, batch, keys)
         else:
             merged = latest_per_key(current.unionByName(batch, allowMissingColumns=True), keys, order)
-    write_table(stored(merged, "merged"), path, mode=OVERWRITE_PARTITIONS, partition_cols=partition_cols)
+    beside = _beside(path)
+    write_table(merged, beside, partition_cols=partition_cols)
+    replace_partitions(spark, beside, path, len(partition_cols))
 
 
 def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -165,11 +168,14 @@ def persist_model(
     fmt: str = "parquet",
     partition_cols: list[str] | None = None,
     options: dict | None = None,
+    metrics: list[Column] | None = None,
 ) -> dict:
     """Write a model and return its result record; an empty model is skipped, not written.
 
-    The row count is observed during the write, so the model is computed once. The rows
-    go to the shared folder first: what is stored stays if the model turns out to be empty.
+    The row count is observed during the write, and so are further ``metrics`` (aggregates with
+    names, see ``audit.write_metrics``), which the record has under ``metrics``: the model is
+    computed once and written once, into a folder beside its place that takes that place when
+    it is complete. What is stored stays if the model turns out to be empty.
     """
     started = time.monotonic()
     record = {
@@ -177,17 +183,71 @@ def persist_model(
         "operation_type": "N/A", "record_count": 0, "error_details": None, "duration_in_ms": 0,
     }
     rows = Observation(f"rows of {name}")
-    made = stored(df.observe(rows, F.count(F.lit(1)).alias("n")), "model")
-    if rows.get["n"]:
-        write_table(made, path, fmt, OVERWRITE, partition_cols, options)
+    beside = _beside(path)
+    observed = df.observe(rows, F.count(F.lit(1)).alias("n"), *(metrics or []))
+    write_table(observed, beside, fmt, OVERWRITE, partition_cols, options)
+    found = dict(rows.get)
+    if found.pop("n"):
+        replace_folder(df.sparkSession, beside, path)
         record.update(
-            status=contract.COMPLETED, output_path=path, operation_type="OVERWRITE",
-            record_count=rows.get["n"],
+            status=contract.COMPLETED, output_path=path, operation_type="OVERWRITE", record_count=rows.get["n"],
         )
+    else:
+        files, place = _file_system(df.sparkSession, beside)
+        files.delete(place, True)
+    if metrics:
+        record["metrics"] = found
     record["duration_in_ms"] = int((time.monotonic() - started) * 1000)
     return record
 
 
+def _beside(path: str) -> str:
+    """A fresh path next to another one, hidden from readers of their common folder."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for a path, whatever store it is in, and the path as its object."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """The complete folder ``new`` takes the place of ``path``, by renaming within one store.
+
+    The old folder is set aside first and deleted last: whatever moment a driver is lost in,
+    one of both is there as a whole.
+    """
+    files, target = _file_system(spark, path)
+    source, old = _file_system(spark, new)[1], _file_system(spark, _beside(path))[1]
+    had = files.exists(target)
+    if had and not files.rename(target, old):
+        raise OSError(f"cannot set aside {path}")
+    if not files.mkdirs(target.getParent()) or not files.rename(source, target):
+        if had:
+            files.rename(old, target)
+        raise OSError(f"cannot rename {new} to {path}")
+    if had:
+        files.delete(old, True)
+
+
+def replace_partitions(spark: SparkSession, new: str, path: str, levels: int) -> None:
+    """Each partition folder of ``new``, so many levels deep, takes the place of that of ``path``."""
+    files, root = _file_system(spark, new)
+
+    def folders(place, depth: int) -> list[str]:
+        if not depth:
+            return [place.toString()]
+        below = [s.getPath() for s in files.listStatus(place) if s.isDirectory() and "=" in s.getPath().getName()]
+        return [f for folder in below for f in folders(folder, depth - 1)]
+
+    base = files.makeQualified(root).toString()
+    for folder in folders(files.makeQualified(root), levels):
+        replace_folder(spark, folder, f"{path.rstrip('/')}{folder.removeprefix(base)}")
+    files.delete(root, True)
+
+
 def write_summary(spark: SparkSession, summary: dict, path: str) -> None:
     """Store a run summary (one small JSON object) next to the tables it describes."""
     spark.createDataFrame([(json.dumps(summary),)], "value string").coalesce(1).write.mode(

@@ -59,6 +59,14 @@ def years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return year_range_of(ordered.union(shipped), "year")
 
 
+def year_list(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The years as values of a pivot, which would run its whole input once more to find them.
+
+    Two date columns are read, no rows; a year without data is a column of NULLs.
+    """
+    return sorted(r["year"] for r in years(spark, sf_dir).collect())
+
+
 def cents(name: str) -> Column:
     """Money as whole cents: sums are exact, independent of row order, and cheaper than decimals."""
     return F.floor(F.col(name) * 100 + 0.5)

@@ -116,7 +116,7 @@ def raw_patents(spark, sf_dir, shipped: DataFrame | None = None) -> DataFrame:
     """The wide file shape: one text column per year."""
     wide = (
         traded(spark, sf_dir, shipped).groupBy("Office", "Office (Code)", "Origin")
-        .pivot("year").agg(F.sum("quantity"))
+        .pivot("year", given.year_list(spark, sf_dir)).agg(F.sum("quantity"))
     )
     years = year_columns(wide)
     return wide.select(
@@ -205,7 +205,7 @@ def explode_awards(spark, sf_dir):
 def unpivot_years_query(spark, sf_dir):
     wide = (
         table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
-        .groupBy("o_custkey").pivot("year")
+        .groupBy("o_custkey").pivot("year", given.year_list(spark, sf_dir))
         .agg(F.sum(given.cents("o_totalprice")) / 100.0)
     )
     return unpivot_years(wide, ["o_custkey"], "value").filter(F.col("value").isNotNull())

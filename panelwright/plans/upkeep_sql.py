@@ -1,6 +1,7 @@
 """SQL for the queries of ``upkeep``: name -> DuckDB SQL."""
 
 from panelwright import contract
+from panelwright.plans.given_tables import SCHEMAS
 from panelwright.plans.oracle import CUSTOMER_PANEL, INDEX, MEASURES, ORACLE, RATIOS, SCALED, _INDICES, _rounded
 
 _CHANGED = {
@@ -52,7 +53,23 @@ _GRAPH = """
     FROM models LEFT JOIN blocked USING (model)
     LEFT JOIN (SELECT model, max(level)::INTEGER AS level FROM levels GROUP BY 1) USING (model)"""
 
+_AUDITED = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey"], "customer": ["c_custkey"], "events": ["user_id", "event_type"]}
+
+
+def _audit(name: str, keys: list[str]) -> str:
+    columns = [c.split()[0] for c in SCHEMAS[name].split(", ")]
+    counts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE "
+        f"{f'{keys[0]} % 7 = 0 OR ' if i in (2, 3) else ''}{c} IS NULL) AS null_count FROM {name}"
+        for i, c in enumerate(columns)
+    )
+    distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM {name}))"
+    return f"""SELECT 'run-1' AS run_id, '{name}' AS model, (SELECT count(*) FROM {name}) AS row_count,
+        {distinct} < 0.95 * (SELECT count(*) FROM {name}) AS keys_repeat, * FROM ({counts})"""
+
+
 UPKEEP_SQL = {
+    "write_audit": " UNION ALL ".join(_audit(name, keys) for name, keys in _AUDITED.items()),
     "bad_records": """
         SELECT event_id, event_type, value, NULL::VARCHAR AS reason FROM events WHERE event_id % 40 > 3
         UNION ALL

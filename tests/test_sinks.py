@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelwright import session
-from panelwright.operators import landing, sinks
+from panelwright.operators import audit, landing, sinks
 from panelwright.plans import queries
 from panelwright.plans.given_tables import table
 from panelwright.sources.files import read_json_lines, read_table
@@ -206,3 +206,41 @@ def test_events_of_the_upsert_land_through_many_tasks(spark, tmp_path, monkeypat
     assert found.where("event_id IS NULL").count() == 1
     (landed,) = tmp_path.glob("events-*")
     assert len(list(landed.glob("part-*.parquet"))) > 3
+
+
+def test_a_model_is_computed_and_written_once_with_its_audit(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda x: seen.add(1) or x, "long")
+    df = spark.range(1000).select(
+        count("id").alias("id"), F.when(F.col("id") % 4 != 0, F.col("id")).alias("a"), (F.col("id") % 10).alias("k"))
+    metrics = audit.write_metrics(df.columns, ["k"])
+    record = sinks.persist_model(df, "m", str(tmp_path / "m"), "run", metrics=metrics)
+    assert seen.value == 1000 and record["record_count"] == 1000
+    assert record["metrics"] == {"nulls_0": 0, "nulls_1": 250, "nulls_2": 0, "key_estimate": 10}
+    rows = audit.audit_of_writes(spark, [record], {"m": df.columns}).collect()
+    assert [(r["column_name"], r["null_count"], r["keys_repeat"]) for r in rows] == [("id", 0, True), ("a", 250, True), ("k", 0, True)]
+    assert [p.name for p in tmp_path.iterdir()] == ["m"]
+    empty = sinks.persist_model(df.where("id < 0"), "m", str(tmp_path / "m"), "run")
+    assert empty["status"] == "SKIPPED" and spark.read.parquet(str(tmp_path / "m")).count() == 1000
+    assert [p.name for p in tmp_path.iterdir()] == ["m"]
+
+
+def test_a_model_that_fails_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "m")
+    sinks.persist_model(spark.range(5), "m", path, "run")
+    broken = spark.range(5).select(F.raise_error(F.lit("broken")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        sinks.persist_model(broken, "m", path, "run")
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_partitions_are_exchanged_folder_by_folder(spark, tmp_path):
+    path, new = str(tmp_path / "t"), str(tmp_path / "new")
+    rows = [(1, 1, "old"), (1, 2, "old"), (2, 1, "old"), (None, 1, "old")]
+    spark.createDataFrame(rows, "a INT, b INT, v STRING").write.partitionBy("a", "b").parquet(path)
+    changed = [(1, 2, "new"), (3, 1, "new"), (None, 1, "new")]
+    spark.createDataFrame(changed, "a INT, b INT, v STRING").write.partitionBy("a", "b").parquet(new)
+    sinks.replace_partitions(spark, new, path, 2)
+    assert sorted(map(repr, spark.read.parquet(path).select("a", "b", "v").collect())) == sorted(
+        f"Row(a={a}, b={b}, v='{v}')" for a, b, v in [(1, 1, "old"), (1, 2, "new"), (2, 1, "old"), (3, 1, "new"), (None, 1, "new")])
+    assert not (tmp_path / "new").exists()
