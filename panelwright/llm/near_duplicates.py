@@ -8,10 +8,10 @@ similarity, and sketches of a union are the larger exponents.
 1. Documents with equal sets are one class, found by a digest of the set; from here on
    only one document of each class takes part, so copies cost nothing more.
 2. Registers are banded. Members of a band bucket are compared with the bucket's smallest
-   member and, where the bucket is not one component afterwards, with a second one. What is
-   still apart then and has enough shingles in common with others is compared as a whole, in
-   blocks of the bucket: two blocks are a product of two incidence matrices in one task, and
-   of their links as many are kept as connect them. No pair is a row of its own there.
+   member. Where a bucket is not one component afterwards, its members that have enough
+   shingles in common with other components are compared as a whole, in blocks of the
+   bucket: two blocks are a product of two incidence matrices in one task, and of their
+   links as many are kept as connect them. No pair is a row of its own there.
 3. A pair with a centre goes on if its sizes allow the threshold, and if the likelihood of its joint
    register counts does not rule it out. What is left is compared on full sets.
 4. Components come from star contraction; each document gets the smallest id it reaches.
@@ -152,52 +152,38 @@ def _likely(pairs: DataFrame) -> DataFrame:
     return map_texts(pairs, ["a", "ra", "b", "rb", "na", "nb"], start, typed(pairs, "a", "b long"))
 
 
-def _linked(pairs: DataFrame) -> DataFrame:
-    """(a, b) of the pairs of texts whose full sets reach the threshold."""
+def _sets(texts: DataFrame) -> DataFrame:
+    """(id, shingles): the full set of each text."""
 
     def start():
         shingles = Shingles()
-        last = [None, None]
-
-        def step(a, left, b, right):
-            linked = [], []
-            for i, x, j, y in zip(a, left, b, right):
-                if last[0] != j:
-                    last[:] = j, shingles.of(y)
-                own, other = shingles.of(x), last[1]
-                common = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * common >= THRESHOLD * (len(own) + len(other) - common):
-                    linked[0].append(i)
-                    linked[1].append(j)
-            return linked
+        return lambda ids, given: [ids, [shingles.of(t).view(np.int64) for t in given]]
 
-        return step
-
-    columns = ["a", "left", "b", F.col("right").cast("binary").alias("right")]
-    return map_texts(pairs, columns, start, typed(pairs, "a", "b long"))
+    return map_texts(texts, ["id", "text"], start, typed(texts, "id", "shingles array<long>"))
 
 
 class _Members:
-    """Sketches and texts of the classes that share a band with another one."""
+    """Sketches and full sets of the classes that share a band with another one."""
 
     def __init__(self, df: DataFrame, classes: DataFrame, reps: DataFrame, id_col: str, text_col: str):
         self.sides = stored(classes.join(reps, "rep", "left_semi").select("rep", "hash", "n", "registers"), "near-sides")
         texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("h", F.xxhash64("text"))
         same = (F.col("id") == F.col("rep")) & (F.col("h") == F.col("hash"))
         keys = self.sides.select("rep", "hash")
-        self.texts = stored(
-            texts.join(keys, same, "left_semi").select("id", "text").dropDuplicates(["id"]), "near-texts"
-        )
+        chosen = texts.join(keys, same, "left_semi").select("id", "text").dropDuplicates(["id"])
+        self.sets = stored(_sets(chosen), "near-sets")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Of distinct (a, b), those that are linked, written to the shared folder."""
+        """Of distinct (a, b), those that are linked."""
         a = self.sides.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("registers").alias("ra"))
         b = self.sides.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("registers").alias("rb"))
         fits = 100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb")
         likely = stored(_likely(pairs.join(a, "a").join(b, "b").where(fits)), "near-pairs")
-        left = self.texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
-        right = self.texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
-        return stored(_linked(likely.join(left, "a").join(right, "b")), "near-links")
+        left = self.sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
+        right = self.sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
+        common = F.size(F.array_intersect("left", "right"))
+        close = (100 + THRESHOLD) * common >= THRESHOLD * (F.size("left") + F.size("right"))
+        return likely.join(left, "a").join(right, "b").where(close).select("a", "b")
 
     def able(self, opened: DataFrame) -> DataFrame:
         """The rows (band, rep, label) that can still have a link, with n and shingles.
@@ -207,7 +193,9 @@ class _Members:
         member of a bucket bounds m.
         """
         members = opened.select("rep", "label").distinct()
-        sets = _shingle_rows(self.texts.join(members, F.col("id") == F.col("rep")).select("rep", "text", "label"))
+        sets = self.sets.join(members, F.col("id") == F.col("rep")).select(
+            "rep", "label", F.explode("shingles").alias("shingle")
+        )
         spread = sets.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
         shared = stored(
             sets.join(spread, "shingle", "left_semi").groupBy("rep").agg(F.collect_list("shingle").alias("shingles")),
@@ -224,17 +212,6 @@ class _Members:
         return _in_several(able).join(shared, "rep")
 
 
-def _shingle_rows(members: DataFrame) -> DataFrame:
-    """One row per member and shingle."""
-
-    def start():
-        shingles = Shingles()
-        return lambda reps, texts, labels: [reps, labels, [shingles.of(t).view(np.int64) for t in texts]]
-
-    sets = map_texts(members, ["rep", "text", "label"], start, typed(members, "rep", "label long, shingles array<long>"))
-    return sets.select("rep", "label", F.explode("shingles").alias("shingle"))
-
-
 def _in_several(rows: DataFrame) -> DataFrame:
     """The rows of buckets with members of more than one component."""
     split = rows.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
@@ -244,14 +221,13 @@ def _in_several(rows: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(id, label) for every end of the links (a, b): the smallest id it is connected with.
 
-    Alternates large and small stars until nothing changes; no group is gathered, each
-    step is a minimum per id and a join.
+    Alternates large and small stars until all are stars; no group is gathered, each step is
+    a minimum per id and a join.
     """
     edges = stored(
         links.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges"
     )
-    seen = None
-    while True:
+    while not _are_stars(edges):
         both = edges.select("v", "u").union(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("m"))
         large = (
@@ -265,11 +241,16 @@ def components(links: DataFrame) -> DataFrame:
             .union(least.select("v", F.col("m").alias("u"))).where("v <> u").distinct()
         )
         edges = stored(small, "small-stars")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
-    return edges.groupBy("v").agg(F.min("u").alias("u")).select(F.col("v").alias("id"), F.col("u").alias("label"))
+    return edges.select(F.col("v").alias("id"), F.col("u").alias("label"))
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every id stands under one other id at most, which stands under none."""
+    ends = edges.select(F.col("v").alias("x"), F.lit(1).alias("under"), F.lit(0).alias("over")).union(
+        edges.select("u", F.lit(0), F.lit(1))
+    )
+    counts = ends.groupBy("x").agg(F.sum("under").alias("under"), F.max("over").alias("over"))
+    return counts.where("under > 1 OR under = 1 AND over = 1").isEmpty()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -306,19 +287,10 @@ def _class_labels(df: DataFrame, classes: DataFrame, id_col: str, text_col: str)
     members = stored(rows.join(buckets, "band").where("rep <> center"), "band-members")
     both = members.select("rep").union(members.select("center")).distinct()
     sets = _Members(df, classes, both, id_col, text_col)
-    pairs = stored(members.select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct(), "near-candidates")
-    labels = stored(components(sets.confirmed(pairs)), "near-labels")
+    pairs = members.select(F.col("rep").alias("a"), F.col("center").alias("b")).distinct()
+    labels = components(sets.confirmed(pairs))
     # Buckets of two are settled; in larger ones members may link with each other only.
     rest = stored(_opened(members.where("size > 2").select("band", "rep"), labels), "open-buckets")
-    if rest.isEmpty():
-        return labels
-    # A second centre for buckets whose smallest member is unlike the others.
-    second = rest.groupBy("band").agg(F.max(F.struct(F.xxhash64("rep", "band"), "rep", "label")).alias("c"))
-    pairs = rest.join(second, "band").where("label <> c.label").select(
-        F.greatest("rep", "c.rep").alias("a"), F.least("rep", "c.rep").alias("b")
-    )
-    labels = _relabelled(labels, sets.confirmed(stored(pairs.distinct(), "near-candidates")))
-    rest = stored(_opened(rest.select("band", "rep"), labels), "open-buckets")
     if rest.isEmpty():
         return labels
     return _relabelled(labels, stored(_bucket_links(sets.able(rest)), "near-links"))
@@ -341,7 +313,7 @@ def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
         .select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
     )
     stars = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
-    return stored(components(links.union(stars)), "near-labels")
+    return components(links.union(stars))
 
 
 def _bucket_links(rows: DataFrame) -> DataFrame:
