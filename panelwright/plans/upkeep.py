@@ -4,9 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright import contract
-from panelwright.operators import audit, bitmaps, dependencies, sinks
+from panelwright.operators import audit, bitmaps, buckets, dependencies, sinks
 from panelwright.operators.flatten import flatten_indicator
 from panelwright.operators.maintained import MaintainedIndex
+from panelwright.operators.panel import panel_by_joins
+from panelwright.plans import given_tables as given
 from panelwright.plans import gold
 from panelwright.plans.given_tables import KEYS, table
 from panelwright.plans.queries import INDICES, raw_indicators, rounded, stored_customer_panel
@@ -229,7 +231,38 @@ def write_audit(spark, sf_dir):
     return audit.audit_of_writes(spark, records, columns)
 
 
+# ---- stored in buckets
+
+
+def bucketed_inputs(spark, sf_dir) -> tuple[DataFrame, list]:
+    """Grid and measures of the customer panel, stored in buckets by entity and year."""
+    grid = buckets.write_bucketed(given.customer_grid(spark, sf_dir), fresh_path(spark, "bucketed-grid"), KEYS)
+    inputs = [
+        (buckets.write_bucketed(frame, fresh_path(spark, "bucketed-input"), KEYS), measures)
+        for frame, measures in given.customer_inputs(spark, sf_dir)
+    ]
+    return grid, inputs
+
+
+def bucketed_panel(spark, sf_dir):
+    """The panel of ``customer_panel_left_joins`` from bucketed inputs: no exchange, however often it is built."""
+    grid, inputs = bucketed_inputs(spark, sf_dir)
+    return rounded(panel_by_joins(grid, inputs, KEYS), 6)
+
+
+def bucketed_upsert(spark, sf_dir):
+    """The later half of the orders with a new price, merged twice into a bucketed table."""
+    orders = table(spark, sf_dir, "orders")
+    batch = orders.filter(F.year("o_orderdate") >= 1998).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    current = buckets.write_bucketed(orders, fresh_path(spark, "bucketed-orders"), ["o_orderkey"])
+    once = buckets.bucketed_merge(current, batch, ["o_orderkey"])
+    again = buckets.write_bucketed(once, fresh_path(spark, "bucketed-orders"), ["o_orderkey"])
+    return buckets.bucketed_merge(again, batch, ["o_orderkey"])
+
+
 UPKEEP = {
+    "bucketed_panel": bucketed_panel,
+    "bucketed_upsert": bucketed_upsert,
     "write_audit": write_audit,
     "bad_records": bad_records,
     "variant_records": variant_records,

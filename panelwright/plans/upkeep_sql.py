@@ -69,6 +69,8 @@ def _audit(name: str, keys: list[str]) -> str:
 
 
 UPKEEP_SQL = {
+    "bucketed_panel": ORACLE["customer_panel_left_joins"],
+    "bucketed_upsert": ORACLE["keyed_merge"],
     "write_audit": " UNION ALL ".join(_audit(name, keys) for name, keys in _AUDITED.items()),
     "bad_records": """
         SELECT event_id, event_type, value, NULL::VARCHAR AS reason FROM events WHERE event_id % 40 > 3
