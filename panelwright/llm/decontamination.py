@@ -6,10 +6,10 @@ of two words skips positions where no window can end, buckets by the last block
 select the windows to test, and a direct comparison confirms each occurrence.
 
 The benchmark is a stated query set. It is broadcast in blocks of a checked number of
-windows; each batch of documents is searched for one block after the other, so a task
-holds one block's tables at a time. A benchmark above ``pass_bytes`` is searched in
-several passes, each over all documents, with the hits so far carried along. Its items
-are read as passes need them: the driver holds the blocks of one pass, not all items.
+words; a task builds the tables of the blocks of a pass once, at most ``PASS_BLOCKS`` of
+them, and keeps them for all its documents. A larger benchmark is searched in several
+passes, each over all documents, with the hits so far carried along. Its items are read
+as passes need them: the driver holds the blocks of one pass, not all items.
 
 Defined results: null and empty texts have no words, no hits and no items. Items
 without words have no window. Equal items all count. Repeated document rows are judged
@@ -19,6 +19,7 @@ row by row; other columns of the input are not read.
 from collections import defaultdict
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,8 @@ from panelwright.llm.texts import folded_words, map_texts, typed
 from panelwright.session import stored
 
 WINDOW = 13
-BLOCK_WORDS = 200_000  # of items whose tables a task holds at once
+BLOCK_WORDS = 200_000  # of items that share tables, about 100 MB
+PASS_BLOCKS = 4  # whose tables a task holds at once
 PASS_BYTES = 128 << 20  # of benchmark text that is broadcast for one pass over the documents
 
 
@@ -125,6 +127,9 @@ def _passes(
         if block and words + n > BLOCK_WORDS:
             blocks.append(broadcast(block))
             block, words = [], 0
+            if len(blocks) == PASS_BLOCKS:
+                yield blocks, False
+                blocks, size = [], 0
         if (blocks or block) and size + len(text) > pass_bytes:
             yield [*blocks, broadcast(block)] if block else blocks, False
             blocks, block, words, size = [], [], 0, 0
@@ -145,20 +150,19 @@ def benchmark_hits(
     for sent, last in _passes(benchmark, item_col, item_text_col, pass_bytes):
 
         def start(sent=sent, last=last):
-            only = Search(sent[0].value) if len(sent) == 1 else None
+            searches = [Search(block.value) for block in sent]
 
             def step(ids, texts, *before):
                 words = [folded_words(t) for t in texts]
                 spans = [[(s["first"], s["end"]) for s in x] for x in before[1]] if before else [[] for _ in ids]
                 items = [set(x) for x in before[2]] if before else [set() for _ in ids]
-                for block in sent:
-                    search = only or Search(block.value)
+                for search in searches:
                     for i, w in enumerate(words):
                         more, owners = search.hits(w)
                         spans[i] += more
                         items[i] |= owners
                 spans = [[{"first": a, "end": b} for a, b in merged(s)] for s in spans]
-                head = [ids] if last else [ids, [None if t is None else t.decode() for t in texts]]
+                head = [ids] if last else [ids, pa.array(texts, pa.binary()).cast(pa.string(), safe=False)]
                 return [*head, [len(w) for w in words], spans, [list(i) for i in items]]
 
             return step

@@ -505,6 +505,24 @@ def test_passes_are_read_one_after_the_other(spark, docs, monkeypatch):
     assert len(at_stores) > 1 and at_stores == list(range(1, len(drawn)))
 
 
+@pytest.mark.parametrize("blocks, passes", [(3, 1), (9, 3)])
+def test_tables_are_built_once_per_block_and_task(spark, docs, monkeypatch, blocks, passes):
+    started, built = [], []
+    real, search = decontamination.map_texts, decontamination.Search
+    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 4)
+    monkeypatch.setattr(
+        decontamination, "map_texts", lambda frame, columns, start, schema: started.append(start) or real(frame, columns, start, schema))
+    items = spark.createDataFrame([(k, f"a{k} b{k} c{k} d{k}") for k in range(blocks)], "item_id LONG, text STRING")
+    decontamination.benchmark_hits(docs.select("doc_id", "text"), items.coalesce(1))
+    assert len(started) == passes
+    monkeypatch.setattr(decontamination, "Search", lambda items: built.append(1) or search(items))
+    step = started[-1]()
+    before = [[[], []], [[], []]] if passes > 1 else []
+    for _ in range(3):
+        step([1, 2], [b"a0 b0 c0 d0", None], *([[0, 0], *before] if before else []))
+    assert len(built) == blocks - (passes - 1) * decontamination.PASS_BLOCKS
+
+
 def test_wu_manber_finds_every_place():
     rng = np.random.default_rng(7)
     for length in (1, 2, 3, 5):
