@@ -5,7 +5,7 @@ from panelwright.llm.quality_rules import CURRENT, POLICIES, RULES, mask
 _WORD_LIST = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _BITS = " + ".join(f"CASE WHEN {r.fails} THEN {1 << r.bit} ELSE 0 END" for r in RULES)
 
-QUALITY_RULES = rf"""
+_LEDGER = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t, {_WORD_LIST} AS w FROM documents
 ),
@@ -32,13 +32,26 @@ m AS (
     length(regexp_replace(t, '[^A-Za-z]', '', 'g'))::BIGINT AS n_letters
   FROM d LEFT JOIN covered USING (row) LEFT JOIN ll USING (row)
 ),
-b AS (SELECT *, ({_BITS})::BIGINT AS failure_bits FROM m)
+b AS (SELECT *, ({_BITS})::BIGINT AS failure_bits FROM m)"""
+
+QUALITY_RULES = f"""{_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (failure_bits & {mask(POLICIES["v1"])}) <> 0 AS base_failed,
   (failure_bits & {mask(POLICIES[CURRENT])}) = 0 AS kept, failure_bits
 FROM b
 """
 
+_POLICY_RULES = ", ".join(
+    f"('{policy}', {mask(names)}, '{r.name}', {1 << r.bit})"
+    for policy, names in POLICIES.items() for r in RULES if r.name in names
+)
+RULE_ABLATIONS = f"""{_LEDGER}
+SELECT policy, rule, count(*) AS documents, count(*) FILTER (WHERE failure_bits & whole <> 0) AS rejected,
+  count(*) FILTER (WHERE failure_bits & bit <> 0) AS fails,
+  count(*) FILTER (WHERE failure_bits & whole = bit) AS fails_alone
+FROM b, (VALUES {_POLICY_RULES}) AS p(policy, whole, rule, bit) GROUP BY policy, rule
+"""
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _FOLDED = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -204,6 +217,7 @@ SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
 
 LLM_ORACLE = {
     "op3_quality_rules": QUALITY_RULES,
+    "quality_rule_ablations": RULE_ABLATIONS,
     "op5_line_dedup": LINE_DEDUP,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op10_decontamination": DECONTAMINATION,

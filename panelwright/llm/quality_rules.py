@@ -5,19 +5,22 @@ one bit per failed rule; a policy is a versioned bit mask, so that other policie
 ablations and the reasons for a decision need no second look at the texts.
 
 Defined results: a null or empty text has no words, all counts are 0 and it fails
-``few_words``. Repeated rows are judged row by row. Other columns of the input are
-not read, so their names cannot clash.
+``few_words``. Repeated rows are judged row by row. A very long text is measured whole; its
+windows are compared as arrays of numbers instead of tuples of words. Other columns of the
+input are not read, so their names cannot clash.
 """
 
 from dataclasses import dataclass
 from itertools import islice
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.texts import SPACES, map_texts, spaced_words, typed
 
 WINDOW = 5
+LONG = 20_000  # words from which windows are compared as numbers
 _CONTINUATION = bytes(range(0x80, 0xC0))
 _SYMBOLS = b"#*$%&|<>"
 _CAPITALS = bytes(range(0x41, 0x5B))
@@ -63,6 +66,8 @@ def mask(names) -> int:
 
 def repeated_words(words: list[bytes]) -> int:
     """Words inside windows of five that occur at least twice in the text."""
+    if len(words) > LONG:
+        return _repeated_numbers(words)
     windows = list(zip(*(islice(words, i, None) for i in range(WINDOW))))
     if len(set(windows)) == len(windows):
         return 0
@@ -77,6 +82,24 @@ def repeated_words(words: list[bytes]) -> int:
     return covered
 
 
+def _repeated_numbers(words: list[bytes]) -> int:
+    """``repeated_words`` in a few numbers per word: equal windows get equal numbers, pair by pair, exactly."""
+    table: dict[bytes, int] = {}
+    one = np.fromiter((table.setdefault(w, len(table)) for w in words), np.int64, len(words))
+
+    def joined(left, right):
+        return np.unique(left * (right.max() + 1) + right, return_inverse=True)[1]
+
+    two = joined(one[:-1], one[1:])
+    four = joined(two[:-2], two[2:])
+    five = joined(four[:-1], one[WINDOW - 1:])
+    starts = np.flatnonzero(np.bincount(five)[five] > 1)
+    change = np.zeros(len(words) + 1, dtype=np.int32)
+    change[starts] += 1
+    change[starts + WINDOW] -= 1
+    return int((np.cumsum(change[:-1]) > 0).sum())
+
+
 def measures(text: bytes | None) -> tuple[int, ...]:
     """The measurements of one text, in the order of MEASURES."""
     text = text or b""

@@ -1,6 +1,7 @@
 """One query per operator over the whole given tables: name -> function of (spark, sf_dir)."""
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from panelwright.llm import (
     vector_graph,
 )
 from panelwright.plans.given_tables import table
+from panelwright.session import stored
 
 TOKENIZERS = os.environ.get("PANELWRIGHT_TOKENIZERS", "/opt/tokenizers")
 PIECES = "piece_bpe_32k.model"
@@ -81,6 +83,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy rejects, alone and together with others; the texts are read once."""
+    ledger = stored(quality_rules.rule_ledger(documents(spark, sf_dir)).select("failure_bits"), "ledger")
+    found = [quality_rules.ablation(ledger, p).withColumn("policy", F.lit(p)) for p in quality_rules.POLICIES]
+    return reduce(DataFrame.unionByName, found)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = piece_codec.encoded(documents(spark, sf_dir).select("doc_id", "text"), sentencepiece_model())
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
@@ -143,7 +152,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_counts, op2_personal_data, op3_quality_rules, op4_sentencepiece, op5_line_dedup, op6_sharding,
+        op1_token_counts, op2_personal_data, op3_quality_rules, quality_rule_ablations, op4_sentencepiece, op5_line_dedup, op6_sharding,
         op7_quality_classifier, op8_near_duplicates, op9_license_scan, op10_decontamination, op11_ranked_search,
         op12_source_divergence, op13_vector_graph, pipeline,
     )

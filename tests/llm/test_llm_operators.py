@@ -143,6 +143,16 @@ def test_quality_measures(docs, rows, none):
     assert quality_rules.rule_ledger(none).count() == 0
 
 
+def test_long_texts_are_compared_as_numbers():
+    rng = np.random.default_rng(9)
+    for vocabulary, n in ((2, 12), (4, 900), (40, 5000), (100_000, 3000)):
+        words = [b"w%d" % k for k in rng.integers(0, vocabulary, n)]
+        assert quality_rules._repeated_numbers(words) == quality_rules.repeated_words(words)
+    long = b" ".join(b"w%d" % (k % 70_001) for k in range(3_000_000))  # 20 MB
+    measured = quality_rules.measures(long)
+    assert measured[0] == 3_000_000 and measured[5] == 3_000_000
+
+
 def test_ablation_counts(docs):
     ledger = quality_rules.rule_ledger(docs)
     bits = [r[0] for r in ledger.select("failure_bits").collect()]
