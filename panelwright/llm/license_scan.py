@@ -9,8 +9,8 @@ is dropped, and of equal intervals the rule of higher priority stays.
 Base phrases (``mit license`` and the like) are counted apart; their labels always stay.
 
 Defined results: a null text counts as empty. Texts without a match have no labels, a
-score of 0 and null positions. Repeated rows are scanned row by row; other columns are
-not read.
+score of 0 and null positions. Repeated rows are scanned row by row, a very long text as a
+whole, in its row. An empty table gives no rows. Other columns are not read.
 """
 
 import json

@@ -12,8 +12,11 @@ Both fits see counts over all documents: at most ``3^5 * 9`` rows per kind, what
 input's size. Everything else is column expressions: texts are read once, and no text
 leaves its row.
 
+Only places are ever stored or returned, never what stands there.
+
 Defined results: a null text counts as empty and has no spans. Repeated rows are scanned
-row by row; other columns are not read.
+row by row; a very long text is scanned whole, in its row. An empty table gives no rows.
+Other columns are not read.
 """
 
 import math

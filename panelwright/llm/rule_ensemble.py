@@ -11,7 +11,7 @@ smallest hash of their id. Everything else covers all rows.
 Defined results: a null or empty text has all statistics 0. Without labels of both classes
 the score is the smoothed share of positive labels (0.5 without any). Labels that are null
 are not used; a document with several labels counts once for each. Repeated rows are scored
-row by row.
+row by row, a very long text as a whole. An empty table gives no rows.
 """
 
 from collections import Counter
