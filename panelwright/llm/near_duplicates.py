@@ -189,27 +189,23 @@ class _Members:
         """The rows (band, rep, label) that can still have a link, with n and shingles.
 
         ``shingles`` are those of a member that members of other components have too. Two sets of
-        n and m shingles need THRESHOLD / (100 + THRESHOLD) of n + m in common, and the smallest
-        member of a bucket bounds m.
+        n and m shingles need THRESHOLD / (100 + THRESHOLD) of n + m in common; m is at least
+        THRESHOLD per cent of n, and no less than the smallest member of the bucket has.
         """
         members = opened.select("rep", "label").distinct()
         sets = self.sets.join(members, F.col("id") == F.col("rep")).select(
-            "rep", "label", F.explode("shingles").alias("shingle")
+            "rep", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")
         )
         spread = sets.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        shared = stored(
-            sets.join(spread, "shingle", "left_semi").groupBy("rep").agg(F.collect_list("shingle").alias("shingles")),
-            "near-shared",
-        )  # a row per member, no longer than its text
-        rows = opened.join(self.sides.select("rep", "n"), "rep").join(
-            shared.select("rep", F.size("shingles").alias("shared")), "rep"
+        shared = (
+            sets.join(spread, "shingle", "left_semi").groupBy("rep", "n")
+            .agg(F.collect_list("shingle").alias("shingles"))  # no longer than the member's text
+            .where(100 * F.size("shingles") >= THRESHOLD * F.col("n"))
         )
+        rows = stored(opened.join(shared, "rep"), "near-able")
         smallest = rows.groupBy("band").agg(F.min("n").alias("least"))
-        other = F.greatest(F.col("least"), F.col("n") * THRESHOLD / 100)
-        able = rows.join(smallest, "band").where(
-            (100 + THRESHOLD) * F.col("shared") >= THRESHOLD * (F.col("n") + other)
-        ).drop("least", "shared")
-        return _in_several(able).join(shared, "rep")
+        enough = (100 + THRESHOLD) * F.size("shingles") >= THRESHOLD * (F.col("n") + F.col("least"))
+        return _in_several(rows.join(smallest, "band").where(enough).drop("least"))
 
 
 def _in_several(rows: DataFrame) -> DataFrame:
