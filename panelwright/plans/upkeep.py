@@ -117,15 +117,19 @@ def distinct_texts_over_turns(spark, sf_dir):
 
 
 def one_array_file(spark, sf_dir) -> str:
-    """All indicator records as a single JSON array in a single file, so written by one task."""
+    """All indicator records as a single JSON array in a single file, so written by one task, as they come.
+
+    The first and the last element get the brackets. One element is an empty object: there is
+    always one to open the array.
+    """
     path = fresh_path(spark, "one-array")
-    lines = raw_indicators(spark, sf_dir, ("event_id",))
-    record = F.to_json(F.struct(*[c for c in lines.columns if c != "event_id"]))
-    rows = lines.select(F.lit(1).alias("part"), F.monotonically_increasing_id().alias("n"), record.alias("value"))
-    frame = spark.createDataFrame([(0, 0, "[{}"), (2, 0, "]")], "part INT, n LONG, value STRING")
-    comma = F.when(F.col("part") == 1, F.concat(F.lit(" ,"), F.col("value"))).otherwise(F.col("value"))
-    ordered = rows.union(frame).coalesce(1).sortWithinPartitions("part", "n")
-    ordered.select(comma.alias("value")).write.option("lineSep", "\n").text(path)
+    lines = raw_indicators(spark, sf_dir)
+    elements = spark.range(1).select(F.lit("{}").alias("value")).union(lines.select(F.to_json(F.struct(*lines.columns))))
+    last = lines.count()
+    numbered = elements.coalesce(1).select("value", F.monotonically_increasing_id().alias("n"))
+    opens = F.when(F.col("n") == 0, "[").otherwise(" ,")
+    closes = F.when(F.col("n") == last, "\n]").otherwise("")
+    numbered.select(F.concat(opens, "value", closes).alias("value")).write.option("lineSep", "\n").text(path)
     return path
 
 
